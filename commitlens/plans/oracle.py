@@ -248,3 +248,12 @@ SELECT entry, CAST(NULL AS VARCHAR), entry FROM b
 UNION ALL
 SELECT r.entry, r.entry, d.location FROM rest2 r JOIN delta d ON lower(r.entry) = lower(d.db || '.' || d."table")""",
 }
+
+
+def _stream_oracle() -> dict[str, str]:
+    from commitlens.plans.stream_queries import STREAM_ORACLE
+
+    return {k: _with(F1_CTE) + v for k, v in STREAM_ORACLE.items()}
+
+
+ORACLE.update(_stream_oracle())
