@@ -38,18 +38,40 @@ def prune_target(target: DataFrame, lo, hi, date_col: str = COMMIT_DATE) -> Data
     return target.where(F.col(date_col).between(F.lit(lo), F.lit(hi)))
 
 
+MAX_LITERAL_IDS = 10_000
+
+
+def batch_ids(batch: DataFrame, limit: int = MAX_LITERAL_IDS) -> list[str] | None:
+    """Distinct table ids of a batch if there are at most ``limit``
+    (bounded by the batch's file count in streaming), else None."""
+    ids = [r[0] for r in batch.select(PATH_ID).where(F.col(PATH_ID).isNotNull())
+           .distinct().limit(limit + 1).collect()]
+    return ids if len(ids) <= limit else None
+
+
 def insert_only_merge(batch: DataFrame, target: DataFrame, keys: list[str] = COMMIT_KEY,
-                      prune: bool = True) -> DataFrame:
+                      prune: bool = False, prune_ids: bool = False) -> DataFrame:
     """Rows of ``batch`` whose commit key is absent from ``target``.
 
     All rows of a new commit are inserted (no dedup inside the batch);
     NULL keys never match, so they are always inserted.  Returns the
     rows to append; the merged table is ``target`` plus these.
+
+    For a *stored* target: ``prune`` limits it to the batch's date range
+    (a partition filter), ``prune_ids`` adds the batch's table ids as a
+    literal IN list, which reaches Parquet as a row-group filter on files
+    sorted by id.  Each costs one small job over the batch, so use them
+    on a cached micro-batch; for targets computed in the same plan they
+    only add work.
     """
     tgt = target.select(*keys)
     if prune and COMMIT_DATE in keys:
         lo, hi = date_bounds(batch)
         tgt = prune_target(tgt, lo, hi)
+    if prune_ids and PATH_ID in keys:
+        ids = batch_ids(batch)
+        if ids is not None:
+            tgt = tgt.where(F.col(PATH_ID).isin(ids))
     cond = [batch[k] == tgt[k] for k in keys]
     return batch.join(tgt, on=cond, how="left_anti")
 

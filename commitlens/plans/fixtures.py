@@ -8,11 +8,13 @@ actions into the structs of ``ACTION_SCHEMA``; the SQL side stays flat.
 from __future__ import annotations
 
 import datetime as dt
+import os
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from commitlens.functions.paths import path_identity
+from commitlens.functions.sequence import bucketed_row_number
 from commitlens.schemas import (
     ACTION_SCHEMA, COMMIT_DATE, COMMIT_VERSION, COMMITTED_ON, EXTRA_CONFIG, FILE_NAME,
     IGNORE, INGEST_SEQ, PATH, PATH_ID, UPDATED_ON, WILDCARD_LEVEL,
@@ -54,12 +56,15 @@ def commit_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     three action kinds come from an ``explode``, not a three-way union.
     """
     ev = _read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
-    per_table = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    # version = position of the event in its table's (ts, event_id) order;
+    # numbered per (table, hour) so a table with most events is split
+    ev = bucketed_row_number(ev, "user_id", F.date_trunc("hour", F.col("ts")),
+                             [F.col("ts"), F.col("event_id")], out="_rn")
     loc = F.concat(F.lit("/lake/db"), (F.col("user_id") % 3).cast("string"),
                    F.lit("/t"), F.col("user_id").cast("string"))
     c = ev.select(
         loc.alias(PATH),
-        (F.row_number().over(per_table) - 1).cast("bigint").alias(COMMIT_VERSION),
+        (F.col("_rn") - 1).cast("bigint").alias(COMMIT_VERSION),
         F.col("ts").cast("timestamp").alias(COMMITTED_ON),
         _operation(F.col("event_type")).alias("op"),
         (F.col("event_id") % 1000 + 1).cast("bigint").alias("size"),
@@ -117,6 +122,41 @@ def commit_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def stored_commit_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 as a stored unrefined table: written once per session and
+    source folder below the shared work dir, in the layout of
+    ``UnrefinedStore`` (``ingest_seq=<n>/commitShortDate=<d>``, rows
+    sorted by table id), then read back with the explicit schema.
+
+    Queries then scan a table, as they do in production, instead of
+    re-deriving the fixture in every branch of their plan.
+    """
+    from commitlens.schemas import UNREFINED_STORED_SCHEMA
+    from commitlens.session import scratch_path
+
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    path = _STORED.get(key)
+    if path is None or not _written(spark, path):
+        path = scratch_path(spark, "f1") + "/data"
+        # range partitioning on the full sort key: a day or a table with
+        # most of the rows is still split over many writer tasks
+        (commit_actions(spark, sf_dir)
+         .repartitionByRange(INGEST_SEQ, COMMIT_DATE, PATH_ID, COMMIT_VERSION)
+         .sortWithinPartitions(INGEST_SEQ, COMMIT_DATE, PATH_ID, COMMIT_VERSION)
+         .write.mode("overwrite").partitionBy(INGEST_SEQ, COMMIT_DATE).parquet(path))
+        _STORED[key] = path
+    return (spark.read.schema(UNREFINED_STORED_SCHEMA).option("basePath", path).parquet(path))
+
+
+def _written(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def split_target(actions: DataFrame) -> DataFrame:
     """F3 target side: commits before the split day."""
     return actions.where(F.col(COMMITTED_ON) < F.lit(SPLIT_TARGET_BEFORE).cast("timestamp"))

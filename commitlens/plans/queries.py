@@ -36,14 +36,14 @@ SNAPSHOT_COLS = [PATH_ID, "data_path", COMMIT_VERSION, COMMITTED_ON, COMMIT_DATE
                  "add_path", "add_size"]
 
 CATALOG_DATABASES = "europe; asia , america"
-CATALOG_PATTERN = "*an*|f*"
+CATALOG_PATTERN = "NATION_1*|*_2"
 SLICE_LOWER, SLICE_UPPER = 1, 50
 
 
 # ---- helpers ---------------------------------------------------------------
 
 def _f1(spark, sf):
-    return fx.commit_actions(spark, sf)
+    return fx.stored_commit_actions(spark, sf)
 
 
 def _refined(df: DataFrame) -> DataFrame:
@@ -106,7 +106,9 @@ def q_live_files(spark, sf):
 
 def q_live_files_incremental(spark, sf):
     f1 = _f1(spark, sf)
-    previous = snapshots.live_files(fx.split_target(f1))
+    # the previous snapshot is a stored table in production: checkpoint it
+    # to the shared folder rather than recompute it in three branches
+    previous = snapshots.live_files(fx.split_target(f1)).checkpoint(eager=True)
     new = merge.insert_only_merge(fx.split_batch(f1), fx.split_target(f1))
     return _snapshot(snapshots.live_files_incremental(previous, new))
 
