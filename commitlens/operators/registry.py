@@ -152,7 +152,8 @@ def inventory_from_catalog(spark, databases: list[str] | None = None) -> DataFra
 # ---- S6 location resolution --------------------------------------------------
 
 def resolve_locations(entries: DataFrame, inventory: DataFrame, provider: str = "delta",
-                      raise_unresolved: bool = True) -> DataFrame:
+                      raise_unresolved: bool = True,
+                      table_paths: DataFrame | None = None) -> DataFrame:
     """Each config entry becomes (fullTableName?, deltaLocation).
 
     Precedence: (a) an entry without ``/`` and ``.`` that names a
@@ -160,6 +161,8 @@ def resolve_locations(entries: DataFrame, inventory: DataFrame, provider: str =
     table's location is that path (no name); (c) an entry equal to a
     ``db.table`` name is that table.  Entries resolved by none raise.
     Other columns of ``entries`` (e.g. ``extraConfig``) are carried.
+    ``table_paths`` (column ``location``) adds table paths that are not
+    in the catalog (see ``discovery.table_paths``).
     """
     carry = [c for c in entries.columns if c != "entry"]
     tables = inventory.where(F.lower("provider") == provider)
@@ -172,7 +175,10 @@ def resolve_locations(entries: DataFrame, inventory: DataFrame, provider: str =
                 F.col("location").alias(PATH), *carry)
     rest = entries.join(db_entries.select("entry").distinct(), "entry", "left_anti")
 
-    locs = tables.select(F.col("location").alias("entry")).distinct()
+    locs = tables.select(F.col("location").alias("entry"))
+    if table_paths is not None:   # path tables found on storage, outside the catalog
+        locs = locs.unionByName(table_paths.select(F.col("location").alias("entry")))
+    locs = locs.distinct()
     b_rows = rest.join(locs, "entry", "left_semi")
     b = b_rows.select("entry", F.lit(None).cast("string").alias(FULL_TABLE_NAME),
                       F.col("entry").alias(PATH), *carry)
