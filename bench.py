@@ -2,8 +2,8 @@
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
-Each query runs once to warm up, then ``BENCH_RUNS`` (default 3) times;
-the median is reported.  A run executes the whole plan into Spark's
+All queries run once to warm up, then ``BENCH_RUNS`` (default 3) rounds
+over all of them; the median per query is reported.  A run executes the whole plan into Spark's
 ``noop`` sink, so nothing is collected to the driver.  Prints one JSON
 line.
 """
@@ -41,16 +41,17 @@ def main() -> None:
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
     spark = get_spark(f"local[{cpus}]", shuffle_partitions=cpus * 2,
                       **{"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")})
-    times = {}
+    # one warm-up pass over all queries (JIT, fixture table), then the
+    # timed runs round-robin so no query profits from its position
     for name in names:
-        fn = QUERIES[name]
-        samples = []
-        for i in range(runs + 1):
+        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    samples: dict[str, list[float]] = {n: [] for n in names}
+    for _ in range(runs):
+        for name in names:
             t0 = time.perf_counter()
-            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            if i > 0:
-                samples.append(time.perf_counter() - t0)
-        times[name] = round(statistics.median(samples), 3)
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            samples[name].append(time.perf_counter() - t0)
+    times = {n: round(statistics.median(v), 3) for n, v in samples.items()}
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
     print(json.dumps({
         "metric": "headline_query_seconds_total",

@@ -23,15 +23,34 @@ from commitlens.functions.paths import glob_prefix
 from commitlens.schemas import WC_PATH, WC_PATH_ID
 
 
+def _sql_chars(chars: list[str]) -> str:
+    return "array(" + ", ".join("'" + c.replace("\\", "\\\\").replace("'", "\\'") + "'"
+                                for c in chars) + ")" if chars else "array()"
+
+
 def _substrings(prefixes: DataFrame) -> DataFrame:
-    """(pre, sub) for every substring of every prefix, incl. ''."""
-    n = F.length("pre")
-    starts = prefixes.select("pre", F.explode(F.sequence(F.lit(1), F.greatest(n, F.lit(1)))).alias("i"))
-    spans = starts.select("pre", "i", F.explode(
-        F.sequence(F.col("i") - 1, F.length("pre"))).alias("j"))
-    # j = last position; j = i - 1 is the empty substring (kept once, at i = 1)
-    spans = spans.where((F.col("j") >= F.col("i")) | (F.col("i") == 1))
-    return spans.select("pre", F.expr("substring(pre, i, j - i + 1)").alias("sub"))
+    """(pre, sub) for the substrings of each prefix that can equal some
+    prefix: they must start with a character some prefix starts with and
+    end with one some prefix ends with (both sets are bounded by the
+    alphabet).  Real prefixes start and end with ``/``, so a prefix
+    yields about depth^2/2 candidates instead of length^2/2.  The empty
+    substring is produced only if the empty prefix exists."""
+    row = prefixes.agg(
+        F.collect_set(F.when(F.length("pre") > 0, F.substring("pre", 1, 1))).alias("f"),
+        F.collect_set(F.when(F.length("pre") > 0, F.substring("pre", -1, 1))).alias("e"),
+        F.max((F.length("pre") == 0).cast("int")).alias("empty")).first()
+    firsts, lasts = sorted(row["f"] or []), sorted(row["e"] or [])
+    starts = F.expr(f"filter(sequence(1, greatest(length(pre), 1)), "
+                    f"x -> array_contains({_sql_chars(firsts)}, substring(pre, x, 1)))")
+    ends = F.expr(f"filter(sequence(1, greatest(length(pre), 1)), "
+                  f"x -> array_contains({_sql_chars(lasts)}, substring(pre, x, 1)))")
+    c = prefixes.select("pre", starts.alias("_s"), ends.alias("_e"))
+    c = c.select("pre", "_e", F.explode("_s").alias("i"))
+    c = c.select("pre", "i", F.explode(F.expr("filter(_e, y -> y >= i)")).alias("j"))
+    subs = c.select("pre", F.expr("substring(pre, i, j - i + 1)").alias("sub"))
+    if row["empty"]:
+        subs = subs.unionByName(prefixes.select("pre", F.lit("").alias("sub")))
+    return subs
 
 
 def consolidate_globs(paths: DataFrame, glob_col: str = WC_PATH,
