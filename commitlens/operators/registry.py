@@ -166,33 +166,35 @@ def resolve_locations(entries: DataFrame, inventory: DataFrame, provider: str =
     """
     carry = [c for c in entries.columns if c != "entry"]
     tables = inventory.where(F.lower("provider") == provider)
-    dbs = inventory.select(F.col("db").alias("entry")).distinct()
-
-    is_db_name = ~F.col("entry").contains("/") & ~F.col("entry").contains(".")
-    db_entries = entries.where(is_db_name).join(dbs, "entry", "left_semi")
-    a = db_entries.join(tables.select(F.col("db").alias("entry"), "table", "location"), "entry") \
-        .select("entry", F.concat_ws(".", "entry", "table").alias(FULL_TABLE_NAME),
-                F.col("location").alias(PATH), *carry)
-    rest = entries.join(db_entries.select("entry").distinct(), "entry", "left_anti")
-
-    locs = tables.select(F.col("location").alias("entry"))
+    dbs = inventory.select(F.col("db").alias("_db")).distinct()
+    locs = tables.select(F.col("location").alias("_loc"))
     if table_paths is not None:   # path tables found on storage, outside the catalog
-        locs = locs.unionByName(table_paths.select(F.col("location").alias("entry")))
+        locs = locs.unionByName(table_paths.select(F.col("location").alias("_loc")))
     locs = locs.distinct()
-    b_rows = rest.join(locs, "entry", "left_semi")
-    b = b_rows.select("entry", F.lit(None).cast("string").alias(FULL_TABLE_NAME),
-                      F.col("entry").alias(PATH), *carry)
-    rest = rest.join(locs, "entry", "left_anti")
-
-    names = tables.select(F.lower(F.concat_ws(".", "db", "table")).alias("lname"),
-                          F.concat_ws(".", "db", "table").alias("tname"), "location")
-    c_join = rest.join(names, F.lower(rest["entry"]) == names["lname"])
-    c = c_join.select("entry", F.col("entry").alias(FULL_TABLE_NAME),
-                      F.col("location").alias(PATH), *carry)
+    names = tables.select(F.lower(F.concat_ws(".", "db", "table")).alias("_lname"),
+                          F.col("location").alias("_name_loc"))
+
+    # classify every entry once: one left join per kind, precedence by CASE
+    e = (entries.join(dbs, entries["entry"] == dbs["_db"], "left")
+         .join(locs, F.col("entry") == F.col("_loc"), "left")
+         .join(names, F.lower(F.col("entry")) == F.col("_lname"), "left"))
+    is_db_name = ~F.col("entry").contains("/") & ~F.col("entry").contains(".") & F.col("_db").isNotNull()
+    e = e.withColumn("_kind", F.when(is_db_name, "db").when(F.col("_loc").isNotNull(), "path")
+                     .when(F.col("_name_loc").isNotNull(), "name"))
     if raise_unresolved:
-        left = rest.join(names, F.lower(rest["entry"]) == names["lname"], "left_anti")
-        bad = [r["entry"] for r in left.select("entry").limit(20).collect()]
+        bad = [r["entry"] for r in e.where(F.col("_kind").isNull()).select("entry").limit(20).collect()]
         if bad:
             raise ConfigError(
                 "not a database, table path or table name: " + ", ".join(map(str, bad)))
-    return a.unionByName(b).unionByName(c)
+    # a database stands for each of its tables (1 -> N); others keep one row
+    per_db = tables.select(F.col("db").alias("_tdb"), F.col("table").alias("_tbl"),
+                           F.col("location").alias("_tloc"))
+    x = e.where(F.col("_kind").isNotNull()).join(
+        per_db, (F.col("_kind") == "db") & (F.col("entry") == F.col("_tdb")), "left")
+    x = x.where((F.col("_kind") != "db") | F.col("_tbl").isNotNull())
+    name = (F.when(F.col("_kind") == "db", F.concat_ws(".", "entry", "_tbl"))
+            .when(F.col("_kind") == "name", F.col("entry")))
+    loc = (F.when(F.col("_kind") == "db", F.col("_tloc"))
+           .when(F.col("_kind") == "path", F.col("entry"))
+           .otherwise(F.col("_name_loc")))
+    return x.select("entry", name.cast("string").alias(FULL_TABLE_NAME), loc.alias(PATH), *carry)
