@@ -158,6 +158,17 @@ prev_carry AS (SELECT p.* FROM prev p JOIN prev_max m
     "dedup_adds": _with(F1_CTE, _cumulative_snapshot("snap", "f1")) +
         "SELECT deltaLocationIdentifier, deltaLocation AS data_path, commitVersion, add_path, "
         "size AS add_size FROM snap_dadds",
+    "replay_file_intervals": _with(F1_CTE) + """, ev AS (
+  SELECT deltaLocationIdentifier, deltaLocation AS data_path, add_path AS file, commitVersion, 0 AS ord,
+         size AS add_size FROM f1 WHERE action = 'add'
+  UNION ALL
+  SELECT deltaLocationIdentifier, deltaLocation, remove_path, commitVersion, 1, NULL FROM f1 WHERE action = 'remove'
+), l AS (
+  SELECT *, lead(commitVersion) OVER (PARTITION BY deltaLocationIdentifier, file ORDER BY commitVersion, ord) AS nxt
+  FROM ev
+)
+SELECT deltaLocationIdentifier, data_path, file, commitVersion AS start, nxt AS "end", add_size
+FROM l WHERE ord = 0 AND (nxt IS NULL OR nxt > commitVersion)""",
     "insert_only_merge": _with(F1_CTE, _NEW_ROWS) + f"SELECT {FLAT} FROM f1_new",
     "refine_commits": _with(F1_CTE, _REFINED_TARGET) +
         f"""SELECT * FROM ref_target

@@ -117,6 +117,13 @@ def q_live_file_metrics(spark, sf):
     return snapshots.live_file_metrics(_f1(spark, sf))
 
 
+def q_replay_file_intervals(spark, sf):
+    """Q19 replay mode: per file, the versions where its latest action is an add."""
+    iv = snapshots.replay_intervals(_f1(spark, sf))
+    return iv.select(PATH_ID, "data_path", "file", "start", "end",
+                     F.col("add_file.size").alias("add_size"))
+
+
 def q_dedup_adds(spark, sf):
     adds, _ = snapshots.file_actions(_f1(spark, sf))
     return snapshots.dedup_adds(adds).select(
@@ -242,6 +249,7 @@ QUERIES: dict[str, QueryFn] = {
     "live_files_incremental": q_live_files_incremental,
     "live_file_metrics": q_live_file_metrics,
     "dedup_adds": q_dedup_adds,
+    "replay_file_intervals": q_replay_file_intervals,
     "insert_only_merge": q_insert_only_merge,
     "refine_commits": q_refine_commits,
     "changes_since": q_changes_since,
