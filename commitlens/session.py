@@ -55,8 +55,10 @@ def ensure_work_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and materialised intermediates.
 
     Reads ``spark.checkpoint.dir`` (or the directory already set on the
-    context).  Only when neither is set -- local runs and tests -- a
-    fresh folder under the system temp dir is created and registered.
+    context).  Only when neither is set and the master is local (local
+    runs, tests) a fresh folder under the system temp dir is created and
+    registered; on a cluster that is an error, as a machine-local folder
+    is not shared.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -66,6 +68,8 @@ def ensure_work_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     local = tempfile.mkdtemp(prefix="commitlens-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir()
