@@ -148,7 +148,7 @@ INGEST_LEDGER_SCHEMA = _s(
     ("stream", T.StringType()),
     ("batch_id", T.LongType()),
     (INGEST_SEQ, T.LongType()),
-    ("rows", T.LongType()),
+    ("dates", T.ArrayType(T.DateType())),   # commit dates the batch wrote
     (UPDATED_ON, T.TimestampType()),
 )
 

@@ -184,3 +184,14 @@ def test_listener(spark, work):
     assert {"started", "progress", "terminated"} <= kinds
     assert ev.where("event = 'progress'").agg(F.sum("num_input_rows")).first()[0] == acts.count()
     assert ev.where("event = 'started'").first().name == "query_lst"
+
+
+def test_null_date_rows_reach_the_change_feed(spark, work):
+    root = work + "/unrefined"
+    store = UnrefinedStore(spark, root)
+    f1 = fx.commit_actions(spark, SF).drop("ingest_seq").limit(20)
+    nulls = f1.limit(3).withColumn("commitShortDate", F.lit(None).cast("date")) \
+        .withColumn("commitVersion", F.col("commitVersion") + 100000)
+    assert store.land(f1.unionByName(nulls), "s", 0) == 1
+    assert store.read_since(0).count() == 23
+    assert store.read().count() == 23
