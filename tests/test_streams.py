@@ -195,3 +195,20 @@ def test_null_date_rows_reach_the_change_feed(spark, work):
     assert store.land(f1.unionByName(nulls), "s", 0) == 1
     assert store.read_since(0).count() == 23
     assert store.read().count() == 23
+
+
+def test_refine_two_increments_equal_one(spark, work):
+    split = dt.datetime(2024, 1, 18)
+    write_f5(spark, work, until=split)
+    root, ck = work + "/unrefined", work + "/ck"
+    refined, ledger = work + "/refined", work + "/processed"
+    await_all([start_ingest_stream(spark, work + ALL, "all", root, ck, max_files_per_trigger=13)])
+    m1 = run_incremental_refine(spark, root, refined, ledger)
+    write_f5(spark, work)
+    await_all([start_ingest_stream(spark, work + ALL, "all", root, ck, max_files_per_trigger=13)])
+    m2 = run_incremental_refine(spark, root, refined, ledger)
+    assert m2 > m1
+    got = read_refined(spark, refined).select("deltaLocationIdentifier", "commitVersion")
+    assert got.count() == got.distinct().count()
+    want = f5_actions(spark).where(F.col("commitInfo").isNotNull()).count()
+    assert got.count() == want
