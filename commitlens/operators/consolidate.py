@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from commitlens.functions.paths import glob_prefix
+from commitlens.session import ensure_work_dir
 from commitlens.schemas import WC_PATH, WC_PATH_ID
 
 
@@ -54,7 +55,8 @@ def _substrings(prefixes: DataFrame) -> DataFrame:
 
 
 def consolidate_globs(paths: DataFrame, glob_col: str = WC_PATH,
-                      id_col: str = WC_PATH_ID, strict: bool = False) -> DataFrame:
+                      id_col: str = WC_PATH_ID, strict: bool = False,
+                      materialize: bool = True) -> DataFrame:
     """Consolidated (glob, id) rows.
 
     Default: the substring rule (kept for parity; note ``/x/*`` then
@@ -66,6 +68,11 @@ def consolidate_globs(paths: DataFrame, glob_col: str = WC_PATH,
          .where(F.col("glob").isNotNull()).distinct()
          .withColumn("pre", glob_prefix("glob"))
          .withColumn("key", F.struct("glob", "gid")))
+    if materialize:
+        # every branch below reads the distinct globs: write them once to
+        # the shared checkpoint folder instead of re-deriving them per branch
+        ensure_work_dir(g.sparkSession)
+        g = g.checkpoint(eager=True)
     if strict:
         return _consolidate_strict(g, glob_col, id_col)
     per_pre = g.groupBy("pre").agg(F.min("key").alias("kmin"))

@@ -203,10 +203,10 @@ def master_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
                         extra.alias(EXTRA_CONFIG))
 
 
-def registry_split(entries: DataFrame, side: str) -> DataFrame:
+def registry_split(entries: DataFrame, side: str, n: int | None = None) -> DataFrame:
     """F3 split of F2 by page_id: target below 60 %, batch from 40 % of
-    the row count.  The count is one number fetched by a small job."""
-    n = entries.count()
+    the row count ``n`` (one number, fetched by a small job if not given)."""
+    n = entries.count() if n is None else n
     if side == "target":
         return entries.where(F.col("page_id") < F.lit(n * 0.6))
     return entries.where(F.col("page_id") >= F.lit(n * 0.4))

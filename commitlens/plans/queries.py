@@ -219,9 +219,10 @@ def q_stream_slice(spark, sf):
 
 def q_registry_upsert(spark, sf):
     plain = _plain_config(spark, sf)
-    t = _registry(fx.registry_split(plain, "target")).withColumn(
+    n = plain.count()
+    t = _registry(fx.registry_split(plain, "target", n)).withColumn(
         UPDATED_ON, F.lit(fx.REGISTRY_TARGET_UPDATED))
-    b = _registry(fx.registry_split(plain, "batch")).withColumn(
+    b = _registry(fx.registry_split(plain, "batch", n)).withColumn(
         UPDATED_ON, F.lit(fx.REGISTRY_BATCH_UPDATED))
     return merge.registry_upsert(t, b).select(
         PATH, PATH_ID, WC_PATH, WC_PATH_ID, config_level(EXTRA_CONFIG).alias("wildCardLevel"),
