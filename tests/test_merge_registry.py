@@ -122,3 +122,26 @@ def test_refine_operators(spark):
     # replaying the same increment inserts nothing
     again, _ = refine.incremental_refine(f1, first.unionByName(second), mid)
     assert again.count() == 0
+
+
+def test_inventory_from_session_catalog(spark, work):
+    from commitlens.session import local_path
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS cl_inv")
+    for t in ("alpha_x", "beta"):
+        spark.sql(f"CREATE TABLE IF NOT EXISTS cl_inv.{t} (a INT) USING parquet "
+                  f"LOCATION '{local_path(work)}/{t}'")
+    spark.range(1).createOrReplaceTempView("alpha_tmp")
+    inv = registry.inventory_from_catalog(spark, ["cl_inv"])
+    got = sorted((r.db, r.table, r.provider) for r in inv.collect())
+    assert got == [("cl_inv", "alpha_x", "parquet"), ("cl_inv", "beta", "parquet")]
+    sel = registry.catalog_filter(inv, "cl_inv", "ALPHA*", provider="parquet").collect()
+    assert [r.fullTableName for r in sel] == ["cl_inv.alpha_x"]
+    assert sel[0].deltaLocation.endswith("/alpha_x")
+
+
+def test_stream_slice_by_location(spark):
+    reg = reg_rows(spark, [(f"/t{i}", f"{i:02d}", f"/t{i}/*", "w") for i in range(5)], dt.datetime(2024, 1, 1))
+    got = [(r.path, r.path_id) for r in registry.stream_slice(reg, 1, 2, use_wildcard_path=False)
+           .orderBy("slice_row").collect()]
+    assert got == [("/t0/_delta_log/*.json", "00"), ("/t1/_delta_log/*.json", "01")]

@@ -212,3 +212,38 @@ def test_refine_two_increments_equal_one(spark, work):
     assert got.count() == got.distinct().count()
     want = f5_actions(spark).where(F.col("commitInfo").isNotNull()).count()
     assert got.count() == want
+
+
+def test_merge_on_id_and_version_ignores_touched_files(spark, work):
+    """Q7: a commit file touched later gets a new date; the default key
+    inserts it again, (id, version) does not."""
+    acts = write_f5(spark, work)
+    base = local_path(work)
+    f = f"{base}/lake/db0/t0/_delta_log/{0:020d}.json"
+    key_id_version = ["deltaLocationIdentifier", "commitVersion"]
+    orig = os.stat(f).st_mtime
+    stamp = dt.datetime(2024, 3, 1).timestamp()
+    lines = sum(1 for _ in open(f))
+    for keys, extra in ((key_id_version, 0), (None, 1)):
+        os.utime(f, (orig, orig))
+        root, ck = f"{work}/u-{extra}", f"{work}/ck-{extra}"
+        kw = {"merge_keys": keys} if keys else {}
+        await_all([start_ingest_stream(spark, work + ALL, "a", root, ck, **kw)])
+        n0 = UnrefinedStore(spark, root).read().count()
+        assert n0 == acts.count()
+        os.utime(f, (stamp, stamp))          # the log file is touched (new date)
+        # a new stream (new checkpoint) re-reads every file, as after a log copy
+        await_all([start_ingest_stream(spark, work + ALL, "b", root, ck, **kw)])
+        n1 = UnrefinedStore(spark, root).read().count()
+        assert n1 == n0 + extra * lines
+
+
+def test_processing_time_trigger(spark, work):
+    write_f5(spark, work)
+    q = start_ingest_stream(spark, work + ALL, "pt", work + "/u", work + "/ck",
+                            trigger_interval="1 second", max_files_per_trigger=100)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert UnrefinedStore(spark, work + "/u").read().count() == f5_actions(spark).count()
