@@ -32,8 +32,6 @@ FLAT_COLS = [PATH, PATH_ID, COMMIT_VERSION, COMMITTED_ON, COMMIT_DATE, FILE_NAME
              "action", "operation", "add_path", "remove_path", "size"]
 REFINED_COLS = [COMMIT_VERSION, COMMITTED_ON, FILE_NAME, PATH, PATH_ID, COMMIT_DATE,
                 "operation", "readVersion", "isolationLevel", "isBlindAppend"]
-SNAPSHOT_COLS = [PATH_ID, "data_path", COMMIT_VERSION, COMMITTED_ON, COMMIT_DATE,
-                 "add_path", "add_size"]
 
 CATALOG_DATABASES = "europe; asia , america"
 CATALOG_PATTERN = "NATION_1*|*_2"
@@ -66,11 +64,6 @@ def _registry(rows: DataFrame) -> DataFrame:
     return registry.registry_rows(rows.select(PATH, EXTRA_CONFIG))
 
 
-def _registry_out(df: DataFrame) -> DataFrame:
-    return df.select(PATH, PATH_ID, WC_PATH, WC_PATH_ID,
-                     config_level(EXTRA_CONFIG).alias("wildCardLevel"))
-
-
 def _ledger_changes(actions: DataFrame) -> DataFrame:
     """Ledger change rows: a table's mark advances at each commit."""
     c = actions.where(F.col("commitInfo").isNotNull())

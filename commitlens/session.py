@@ -17,6 +17,9 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
+    # each ingest stream runs in its own pool (pool_<glob id>); pools only
+    # share the executors fairly under the FAIR scheduler
+    "spark.scheduler.mode": "FAIR",
 }
 
 
