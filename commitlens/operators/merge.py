@@ -49,8 +49,18 @@ def batch_ids(batch: DataFrame, limit: int = MAX_LITERAL_IDS) -> list[str] | Non
     return ids if len(ids) <= limit else None
 
 
+def batch_profile(batch: DataFrame, limit: int = MAX_LITERAL_IDS):
+    """(min date, max date, ids or None) of a batch in one job; ids is
+    None when the batch has more than ``limit`` distinct table ids."""
+    row = batch.agg(F.min(COMMIT_DATE).alias("lo"), F.max(COMMIT_DATE).alias("hi"),
+                    F.slice(F.collect_set(PATH_ID), 1, limit + 1).alias("ids")).first()
+    ids = row["ids"] if row["ids"] is not None and len(row["ids"]) <= limit else None
+    return row["lo"], row["hi"], ids
+
+
 def insert_only_merge(batch: DataFrame, target: DataFrame, keys: list[str] = COMMIT_KEY,
-                      prune: bool = False, prune_ids: bool = False) -> DataFrame:
+                      prune: bool = False, prune_ids: bool = False,
+                      ids: list[str] | None = None) -> DataFrame:
     """Rows of ``batch`` whose commit key is absent from ``target``.
 
     All rows of a new commit are inserted (no dedup inside the batch);
@@ -62,16 +72,16 @@ def insert_only_merge(batch: DataFrame, target: DataFrame, keys: list[str] = COM
     literal IN list, which reaches Parquet as a row-group filter on files
     sorted by id.  Each costs one small job over the batch, so use them
     on a cached micro-batch; for targets computed in the same plan they
-    only add work.
+    only add work.  ``ids`` passes a known id list (see ``batch_profile``).
     """
     tgt = target.select(*keys)
     if prune and COMMIT_DATE in keys:
         lo, hi = date_bounds(batch)
         tgt = prune_target(tgt, lo, hi)
-    if prune_ids and PATH_ID in keys:
+    if ids is None and prune_ids and PATH_ID in keys:
         ids = batch_ids(batch)
-        if ids is not None:
-            tgt = tgt.where(F.col(PATH_ID).isin(ids))
+    if ids is not None and PATH_ID in keys:
+        tgt = tgt.where(F.col(PATH_ID).isin(ids))
     cond = [batch[k] == tgt[k] for k in keys]
     return batch.join(tgt, on=cond, how="left_anti")
 
