@@ -131,22 +131,26 @@ def catalog_filter(inventory: DataFrame, databases: str | None = None,
 def inventory_from_catalog(spark, databases: list[str] | None = None) -> DataFrame:
     """Inventory (db, table, provider, location) from the session catalog.
 
-    Catalog metadata only (no table data): one listing per database on
-    the driver, as any catalog client does.
+    One ``SHOW TABLE EXTENDED`` command per database (not per table);
+    provider and location are parsed from its ``information`` text with
+    built-in functions, so the inventory stays a DataFrame.  Temporary
+    views are left out.
     """
+    from functools import reduce
+
     from commitlens.schemas import CATALOG_INVENTORY_SCHEMA
 
-    cat = spark.catalog
-    dbs = databases or [d.name for d in cat.listDatabases()]
-    rows = []
-    for db in dbs:
-        for t in cat.listTables(db):
-            if t.isTemporary:
-                continue
-            desc = spark.sql(f"DESCRIBE TABLE EXTENDED `{db}`.`{t.name}`").collect()
-            info = {r.col_name: r.data_type for r in desc}
-            rows.append((db, t.name, (info.get("Provider") or "").lower(), info.get("Location")))
-    return spark.createDataFrame(rows, CATALOG_INVENTORY_SCHEMA)
+    dbs = databases or [d.name for d in spark.catalog.listDatabases()]
+    frames = [spark.sql(f"SHOW TABLE EXTENDED IN `{db}` LIKE '*'") for db in dbs]
+    if not frames:
+        return spark.createDataFrame([], CATALOG_INVENTORY_SCHEMA)
+    shown = reduce(lambda a, b: a.unionByName(b), frames).where(~F.col("isTemporary"))
+    info = F.col("information")
+    return shown.select(
+        F.col("namespace").alias("db"), F.col("tableName").alias("table"),
+        F.lower(F.regexp_extract(info, r"(?m)^Provider: (\S+)", 1)).alias("provider"),
+        F.nullif(F.regexp_extract(info, r"(?m)^Location: (.+)$", 1), F.lit("")).alias("location"),
+    )
 
 
 # ---- S6 location resolution --------------------------------------------------
