@@ -1,6 +1,5 @@
 """End to end: bootstrap, E1 registry refresh, E2 streams, E3 refine."""
 
-import os
 
 from pyspark.sql import functions as F
 

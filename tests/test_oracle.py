@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from oracle_check import TABLES, norm, row_hash
+from oracle_check import TABLES, row_hash
 
 SF = "/root/testdata/sf0.001"
 STREAMS = {"discover_tables", "stream_commit_log", "ingest_merge", "ingest_append", "stream_progress"}
