@@ -155,6 +155,10 @@ prev_carry AS (SELECT p.* FROM prev p JOIN prev_max m
         "SELECT deltaLocationIdentifier, commitVersion, committedOn, commitShortDate, "
         "CAST(count(*) AS BIGINT) AS live_files, CAST(sum(coalesce(add_size, 0)) AS BIGINT) AS live_bytes "
         "FROM snap GROUP BY 1, 2, 3, 4",
+    "live_files_state": _with(F1_CTE, _cumulative_snapshot("snap", "f1")) +
+        """, mx AS (SELECT deltaLocationIdentifier, max(commitVersion) AS commitVersion FROM snap GROUP BY 1)
+SELECT s.* FROM snap s JOIN mx ON s.deltaLocationIdentifier = mx.deltaLocationIdentifier
+  AND s.commitVersion = mx.commitVersion""",
     "dedup_adds": _with(F1_CTE, _cumulative_snapshot("snap", "f1")) +
         "SELECT deltaLocationIdentifier, deltaLocation AS data_path, commitVersion, add_path, "
         "size AS add_size FROM snap_dadds",

@@ -107,6 +107,11 @@ def q_live_files_incremental(spark, sf):
     return _snapshot(snapshots.live_files_incremental(state, new, previous_is_state=True))
 
 
+def q_live_files_state(spark, sf):
+    """The snapshot's rows at each table's last version, without expansion."""
+    return _snapshot(snapshots.snapshot_state(_f1(spark, sf)))
+
+
 def q_live_file_metrics(spark, sf):
     return snapshots.live_file_metrics(_f1(spark, sf))
 
@@ -243,6 +248,7 @@ QUERIES: dict[str, QueryFn] = {
     "live_files": q_live_files,
     "live_files_incremental": q_live_files_incremental,
     "live_file_metrics": q_live_file_metrics,
+    "live_files_state": q_live_files_state,
     "dedup_adds": q_dedup_adds,
     "replay_file_intervals": q_replay_file_intervals,
     "insert_only_merge": q_insert_only_merge,
