@@ -145,3 +145,37 @@ def test_stream_slice_by_location(spark):
     got = [(r.path, r.path_id) for r in registry.stream_slice(reg, 1, 2, use_wildcard_path=False)
            .orderBy("slice_row").collect()]
     assert got == [("/t0/_delta_log/*.json", "00"), ("/t1/_delta_log/*.json", "01")]
+
+
+def test_split_wildcards_null_path_in_neither(spark):
+    rows = spark.createDataFrame([("/a/**", False, {"wildCardLevel": "0"}), (None, False, {"wildCardLevel": "0"}),
+                                  ("/b", False, {"wildCardLevel": "1"})], MASTER_SCHEMA)
+    wild, plain = registry.split_wildcards(rows)
+    assert [r.deltaLocation for r in wild.collect()] == ["/a/"]
+    assert [r.deltaLocation for r in plain.collect()] == ["/b"]
+
+
+def test_registry_current_truncation(spark):
+    t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
+    a = merge.registry_changes(reg_rows(spark, [("/a", "1", "/a/*", "w1")], t1), 1)
+    b = merge.registry_changes(reg_rows(spark, [("/b", "2", "/b/*", "w2")], t2), 2)
+    ch = a.unionByName(b)
+    assert merge.registry_current(ch).count() == 2
+    assert [r.deltaLocation for r in merge.registry_current(ch, truncated_before=2).collect()] == ["/b"]
+
+
+def test_levels_from_config(spark):
+    from commitlens.functions.paths import config_level, wildcard_path
+
+    rows = spark.createDataFrame([("/a/b/c", {"wildCardLevel": "x"}), ("/a/b/c", {}), ("/a/b/c", {"wildCardLevel": " 1"})],
+                                 "deltaLocation string, extraConfig map<string,string>")
+    got = [(r.lv, r.g) for r in rows.select(config_level("extraConfig").alias("lv"),
+                                            wildcard_path("deltaLocation", config_level("extraConfig")).alias("g")).collect()]
+    assert got[0] == (None, None) and got[1] == (None, None)
+    assert got[2] == (1, "/a/*/*/_delta_log/*.json")
+
+
+def test_registry_rows_require_level_through_config_scan(spark):
+    bad = spark.createDataFrame([("/a", False, {})], MASTER_SCHEMA)
+    with pytest.raises(registry.ConfigError, match="wildCardLevel"):
+        registry.config_scan(bad)
