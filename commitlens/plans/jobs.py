@@ -77,9 +77,13 @@ def run_ingest(spark: SparkSession, registry: RegistryStore, target_root: str, c
     if consolidate and not consolidate_first:
         paths = consolidate_globs(paths, "path", "path_id", strict=strict_consolidation)
     if collector is not None:
-        spark.streams.addListener(collector)
-    queries = start_ingest_streams(spark, paths, target_root, checkpoint_base, **stream_kwargs)
-    await_all(queries)
+        spark.streams.addListener(collector)     # before any stream starts (Q12)
+    try:
+        queries = start_ingest_streams(spark, paths, target_root, checkpoint_base, **stream_kwargs)
+        await_all(queries)
+    finally:
+        if collector is not None:
+            spark.streams.removeListener(collector)
     return queries
 
 

@@ -65,7 +65,6 @@ def test_end_to_end(spark, work):
     # Consolidation drops the per-table globs covered by db0/* (substring rule)
     c = ProgressCollector()
     qs = run_ingest(spark, reg, work + "/unrefined", work + "/ck", collector=c, max_files_per_trigger=9)
-    spark.streams.removeListener(c)
     assert 1 <= len(qs) <= 4
     store = UnrefinedStore(spark, work + "/unrefined")
     want = f5_actions(spark).count()
