@@ -7,6 +7,8 @@ E3  refine new unrefined rows into per-commit metrics.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,6 +85,12 @@ def run_ingest(spark: SparkSession, registry: RegistryStore, target_root: str, c
         await_all(queries)
     finally:
         if collector is not None:
+            # listener events arrive asynchronously: let the last ones land
+            ids = {str(q.id) for q in locals().get("queries", [])}
+            deadline = time.time() + 30
+            while time.time() < deadline and not ids <= {
+                    r[2] for r in collector.rows() if r[0] == "terminated"}:
+                time.sleep(0.2)
             spark.streams.removeListener(collector)
     return queries
 

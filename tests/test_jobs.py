@@ -89,3 +89,16 @@ def test_refresh_from_catalog_inventory(spark, work):
     refresh_registry_from_catalog(spark, reg, "db", "t*", inventory=inv)
     rows = reg.current().collect()
     assert [(r.fullTableName, r.wcPath) for r in rows] == [("db.t1", "/wh/*/*/_delta_log/*.json")]
+
+
+def test_run_ingest_collects_every_termination(spark, work):
+    write_f5(spark, work)
+    base = local_path(work)
+    master = spark.createDataFrame([(f"{base}/lake/db0/t0", False, {"wildCardLevel": "-1"}),
+                                    (f"{base}/lake/db1/t1", False, {"wildCardLevel": "-1"})], MASTER_SCHEMA)
+    reg = RegistryStore(spark, work + "/registry")
+    refresh_registry_from_config(spark, master, reg)
+    c = ProgressCollector()
+    qs = run_ingest(spark, reg, work + "/unrefined", work + "/ck", collector=c)
+    ended = {r[2] for r in c.rows() if r[0] == "terminated"}
+    assert len(qs) == 2 and {str(q.id) for q in qs} <= ended
