@@ -247,3 +247,18 @@ def test_processing_time_trigger(spark, work):
     finally:
         q.stop()
     assert UnrefinedStore(spark, work + "/u").read().count() == f5_actions(spark).count()
+
+
+def test_batch_twin_equals_stream(spark, work):
+    write_f5(spark, work)
+    extra_cases(work)
+    out = work + "/out"
+    q = (stream_commit_log(spark, work + ALL, 50).writeStream.format("parquet")
+         .option("checkpointLocation", out + "/_cp").trigger(availableNow=True).start(out + "/data"))
+    await_all([q])
+    cols = ["file_name", "deltaLocation", "deltaLocationIdentifier", "commitVersion", "committedOn",
+            "commitShortDate"]
+    key = F.to_json(F.struct("commitInfo", "add", "remove", "txn")).alias("j")
+    streamed = spark.read.parquet(out + "/data").select(*cols, key)
+    batch = read_commit_log(spark, [work + ALL, work + "/nothing/*.json"]).select(*cols, key)
+    assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
