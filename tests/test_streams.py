@@ -262,3 +262,13 @@ def test_batch_twin_equals_stream(spark, work):
     streamed = spark.read.parquet(out + "/data").select(*cols, key)
     batch = read_commit_log(spark, [work + ALL, work + "/nothing/*.json"]).select(*cols, key)
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
+
+
+def test_missing_wildcard_directory_fails(spark, work):
+    import pytest
+    from commitlens.operators.registry import expand_wildcards
+
+    rows = spark.createDataFrame([(f"{local_path(work)}/no-such-dir/**", False, {"wildCardLevel": "0"})],
+                                 MASTER_SCHEMA)
+    with pytest.raises(FileNotFoundError, match="no-such-dir"):
+        expand_wildcards(rows)
