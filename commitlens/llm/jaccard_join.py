@@ -268,6 +268,16 @@ class JaccardJoin:
             F.col("component_id")).alias("component_id"), F.col("cls").alias("class_id"))
 
 
+    def representatives(self, df: DataFrame) -> DataFrame:
+        """Rows of ``df`` (the joined table) without near copies: of each
+        component those of its smallest id, and all empty sets.  Rows that
+        repeat an id and its text count as one; rows that repeat an id with
+        another text stay or go with it."""
+        keep = self.members().filter("n_shingles = 0 or doc_id <=> component_id").select(F.col("doc_id").alias("_id")).distinct()
+        rows = df.join(keep, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+        return rows.dropDuplicates(["doc_id", "text"])
+
+
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the component of their five-word shingle set."""
     return JaccardJoin(table(spark, sf_dir, "documents")).members()

@@ -9,11 +9,12 @@ from commitlens.llm.jaccard_join import op2_ngram_jaccard_join
 from commitlens.llm.line_dedup import op5_line_dedup
 from commitlens.llm.packing import op4_packing
 from commitlens.llm.sampling import op3_sentencepiece
+from commitlens.llm.search import op9_topk_search
 from commitlens.llm.sharding import op6_sharding
 from commitlens.llm.token_files import op8_token_files
 from commitlens.llm.toxicity import op10_toxicity
 
 LLM_QUERIES = {f.__name__: f for f in (
     op1_document_fingerprints, op2_ngram_jaccard_join, op3_sentencepiece, op4_packing, op5_line_dedup, op6_sharding,
-    op7_chat_formatting, op8_token_files, op10_toxicity)}
+    op7_chat_formatting, op8_token_files, op9_topk_search, op10_toxicity)}
 LLM_ORACLE = {"op5_line_dedup": line_dedup.ORACLE_SQL, "op7_chat_formatting": chat.ORACLE_SQL}

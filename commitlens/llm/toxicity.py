@@ -279,9 +279,11 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> BiGru:
     return model.fit(texts, np.array(ys)) if len(set(ys)) == 2 else model
 
 
-def with_scores(df: DataFrame, model: BiGru, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, score`` of every row."""
+def with_scores(df: DataFrame, model: BiGru, keep: list[str], text_col: str = "text") -> DataFrame:
+    """Columns ``keep`` of every row and its ``score``."""
     shared = df.sparkSession.sparkContext.broadcast(model.p)
+    rows = df.select(F.col(text_col).alias("_text"), *keep)
+    out = rows.drop("_text").withColumn("score", F.lit(0.0)).schema
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = BiGru.__new__(BiGru)
@@ -289,15 +291,15 @@ def with_scores(df: DataFrame, model: BiGru, id_col: str = "doc_id", text_col: s
         for b in batches:
             for a in range(0, b.num_rows, 256):
                 s = b.slice(a, 256)
-                yield pa.RecordBatch.from_arrays([s.column(0), pa.array(score_texts(net, s.column(1)))], ["doc_id", "score"])
+                yield pa.RecordBatch.from_arrays([*s.columns[1:], pa.array(score_texts(net, s.column(0)))],
+                                                 [*s.schema.names[1:], "score"])
 
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        score, "doc_id long, score double")
+    return rows.mapInArrow(score, out)
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents scored by a model of the labelled ones."""
     docs = table(spark, sf_dir, "documents")
-    scored = with_scores(docs, train(docs, table(spark, sf_dir, "labels")))
+    scored = with_scores(docs, train(docs, table(spark, sf_dir, "labels")), ["doc_id"])
     return scored.select("doc_id", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
