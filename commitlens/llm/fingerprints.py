@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 from commitlens.llm.common import partitions, stored, table
 
 TERM_CUT = r"[^\p{L}\p{N}]+"
-MAX_LEXICON = 1 << 16
-CELLS = 1 << 12
+MAX_LEXICON = 1 << 15
+CELLS = 1 << 11
 #: (rate bits, first bit, subsets): subset ``j`` of a row holds the lexicon
 #: terms whose hash has the value ``j`` in those bits, 2 ** -rate of them.
 RATES = [(1, 0, 2), (1, 1, 2), (4, 2, 16), (6, 6, 20), (8, 12, 20)]
@@ -72,13 +72,14 @@ def subset_hashes(kept: Column) -> Column:
 
     def one(s: Column) -> Column:
         inside = F.filter(kept, lambda t: t.bitwiseAND(s["m"]) == s["v"])
-        return F.when(F.size(inside) == 0, F.lit(0).cast("long")).otherwise(F.xxhash64(inside).bitwiseAND(F.lit(0xFFFFFFFF)))
+        return F.when(F.size(inside) == 0, F.lit(0).cast("long")).otherwise(
+            F.pmod(F.xxhash64(inside), F.lit(0xFFFF)) + 1)
 
     return F.transform(masks, one)
 
 
 def hex_print(fp: Column) -> Column:
-    return F.array_join(F.transform(fp, lambda h: F.lpad(F.lower(F.hex(h)), 8, "0")), "")
+    return F.array_join(F.transform(fp, lambda h: F.lpad(F.lower(F.hex(h)), 4, "0")), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -125,8 +126,8 @@ def fingerprint_pairs(df: DataFrame, min_share: float = 0.0005, max_share: float
     cells = lexicon(docs.select(term_hashes(F.col("text")).alias("terms")), min_share, max_share, max_lexicon)
     n_parts = partitions(df.sparkSession)
     bounds = sorted({int(b) for b in docs.approxQuantile("_ord", [i / n_parts for i in range(1, n_parts)], 0.25 / n_parts)})
+    docs = docs.withColumn("_tie", F.xxhash64("text"))
     prints = with_fingerprint(docs, cells, "text", "fp").withColumn("_range", _range_bucket(F.col("_ord"), bounds))
-    prints = prints.withColumn("_tie", F.xxhash64("text"))
     w = Window.partitionBy("_range").orderBy("_ord", "_tie")
     rows = prints.select("*", F.lead("text").over(w).alias("_text"), F.lead("fp").over(w).alias("_fp"))
 
@@ -136,8 +137,9 @@ def fingerprint_pairs(df: DataFrame, min_share: float = 0.0005, max_share: float
     turn = Window.orderBy("_range")
     ids = ids.select("_first", F.coalesce(F.lag("_range").over(turn), F.max("_range").over(turn.rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing))).alias("_before"))
-    firsts = prints.select("_ord", "_tie", "text", "fp").join(F.broadcast(ids), F.col("_ord") == F.col("_first"))
-    firsts = firsts.groupBy("_before").agg(F.min_by(F.struct("text", "fp"), "_tie").alias("_head"))
+    firsts = docs.join(F.broadcast(ids), F.col("_ord") == F.col("_first"))
+    firsts = stored(firsts.groupBy("_before").agg(F.min_by("text", "_tie").alias("text")), "firsts")
+    firsts = with_fingerprint(firsts, cells, "text", "fp").select("_before", F.struct("text", "fp").alias("_head"))
     rows = rows.join(firsts, F.col("_range") == F.col("_before"), "left")
     rows = (rows.withColumn("_text", F.coalesce("_text", "_head.text")).withColumn("_fp", F.coalesce("_fp", "_head.fp"))
             .withColumn("n_chars", F.length("text").cast("long")))

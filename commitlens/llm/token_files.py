@@ -25,6 +25,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ MAGIC = b"DAC1"
 RANK_BITS = 512
 SEGMENT_IDS = 1 << 18
 #: Words whose ids one Python worker remembers.
-WORD_CACHE = 400_000
+WORD_CACHE = 300_000
 
 
 def encode(ids: np.ndarray) -> bytes:
@@ -122,27 +123,52 @@ class WordEncoder:
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
-        self.known: dict[str, list[int]] = {}
+        self.clear()
+
+    def clear(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids = np.empty(1 << 20, np.uint32)  # ids of all known words, side by side
+        self.first = np.zeros(WORD_CACHE * 2, np.int64)
+
+    def _learn(self, words: list[str]) -> None:
+        for a in range(0, len(words), 2048):
+            part = words[a:a + 2048]
+            got = [e.ids for e in self.tok.encode_batch_fast(part, add_special_tokens=False)]
+            n = len(self.known)
+            if n + len(part) + 1 > len(self.first):
+                self.first = np.concatenate([self.first, np.zeros_like(self.first)])
+            at = self.first[n] + np.cumsum([len(g) for g in got])
+            while at[-1] > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+            self.ids[self.first[n]:at[-1]] = [i for g in got for i in g]
+            self.first[n + 1:n + 1 + len(part)] = at
+            self.known.update(zip(part, range(n, n + len(part))))
+
+    def batch(self, texts: list[str]) -> Iterator[np.ndarray]:
+        if len(self.known) > WORD_CACHE:
+            self.clear()
+        odd = {i: self.tok.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts) if self.ODD.search(t)}
+        cut = [[] if i in odd else self.CUT.findall(t) for i, t in enumerate(texts)]
+        words = list(chain.from_iterable(cut))
+        self._learn(list(set(words) - self.known.keys()))
+        code = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        begin = self.first[code]
+        n = self.first[code + 1] - begin
+        ends = np.concatenate([[0], np.cumsum(n)])
+        flat = self.ids[np.repeat(begin - ends[:-1], n) + np.arange(ends[-1])]
+        at = ends[np.concatenate([[0], np.cumsum([len(c) for c in cut])])]
+        for i, (a, b) in enumerate(zip(at[:-1], at[1:])):
+            yield np.array(odd[i], np.uint32) if i in odd else flat[a:b]
 
-    def _learn(self, words: Iterable[str]) -> None:
-        words = list(words)
-        for w, e in zip(words, self.tok.encode_batch_fast(words, add_special_tokens=False)):
-            self.known[w] = e.ids
 
-    def batch(self, texts: list[str]) -> Iterator[list[int]]:
-        cut = [None if self.ODD.search(t) else self.CUT.findall(t) for t in texts]
-        if len(self.known) > WORD_CACHE:
-            self.known.clear()
-        self._learn({w for ws in cut if ws for w in ws} - self.known.keys())
-        known = self.known
-        for t, ws in zip(texts, cut):
-            if ws is None:
-                yield self.tok.encode(t, add_special_tokens=False).ids
-            else:
-                out: list[int] = []
-                for ids in map(known.__getitem__, ws):
-                    out += ids
-                yield out
+_encoders: dict[str, WordEncoder] = {}
+
+
+def encoder(path: str) -> WordEncoder:
+    """The worker's encoder; what it has learned serves its later tasks."""
+    if path not in _encoders:
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
 
 
 _SCHEMA = "part int, seg int, part_start long, n_ids long, doc_ids array<bigint>, ends array<bigint>, dac binary"
@@ -162,9 +188,10 @@ def write_tokens(df: DataFrame, path: str, tokenizer: str, end_id: int = 0, id_c
     docs = docs.sortWithinPartitions("doc_id")
 
     def segments(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = WordEncoder(tokenizer)
-        seg = start = 0
-        ids: list[int] = []
+        enc = encoder(tokenizer)
+        end = np.array([end_id], np.uint32)
+        seg = start = held = 0
+        ids: list[np.ndarray] = []
         doc_ids: list = []
         ends: list[int] = []
         part = 0
@@ -172,19 +199,19 @@ def write_tokens(df: DataFrame, path: str, tokenizer: str, end_id: int = 0, id_c
         def flush() -> pa.RecordBatch:
             return pa.RecordBatch.from_pydict({
                 "part": pa.array([part], pa.int32()), "seg": pa.array([seg], pa.int32()),
-                "part_start": [start], "n_ids": [len(ids)],
+                "part_start": [start], "n_ids": [held],
                 "doc_ids": pa.array([doc_ids], pa.list_(pa.int64())), "ends": pa.array([ends], pa.list_(pa.int64())),
-                "dac": pa.array([encode(np.array(ids, np.uint32))], pa.binary())})
+                "dac": pa.array([encode(np.concatenate(ids))], pa.binary())})
 
         for keys, texts, part in _slices(batches):
             for key, out in zip(keys, enc.batch(texts)):
-                ids += out
-                ids.append(end_id)
+                ids += [out, end]
+                held += len(out) + 1
                 doc_ids.append(key)
-                ends.append(len(ids))
-                if len(ids) >= SEGMENT_IDS:
+                ends.append(held)
+                if held >= SEGMENT_IDS:
                     yield flush()
-                    seg, start = seg + 1, start + len(ids)
+                    seg, start, held = seg + 1, start + held, 0
                     ids, doc_ids, ends = [], [], []
         if doc_ids:
             yield flush()
