@@ -39,7 +39,7 @@ MAGIC = b"DAC1"
 RANK_BITS = 512
 SEGMENT_IDS = 1 << 18
 #: Words whose ids one Python worker remembers.
-WORD_CACHE = 300_000
+WORD_CACHE = 600_000
 
 
 def encode(ids: np.ndarray) -> bytes:
@@ -108,14 +108,18 @@ class WordEncoder:
     """Whole texts through the tokenizers library, one word at a time.
 
     The byte-level pre-tokeniser never joins characters across the places
-    where this pattern cuts (a run of non-blanks with at most one space
-    before it, or a run of blanks), so the ids of a text are those of its
-    words, and a word met before need not be encoded again.  Texts with the
-    control characters 0x1C-0x1F, on which the two blank classes differ,
-    are encoded in one go.
+    where this pattern cuts: before a blank, inside a run of blanks where
+    the pre-tokeniser cuts as well, and between a letter and punctuation
+    other than an apostrophe.  So the ids of a text are those of its words,
+    and a word met before need not be encoded again.  A word of letters is
+    one pre-token, for which the library's BPE model is asked directly.
+    Texts with the control characters 0x1C-0x1F, on which the two blank
+    classes differ, are encoded in one go.
     """
 
-    CUT = re.compile(r"\s+(?!\S)| ?\S+|\s+")
+    LETTER = "[a-zA-ZÀ-ÖØ-öø-ÿ]"
+    CUT = re.compile(rf"\s+(?!\S)| ?{LETTER}+(?![^\s.,;:!?|%$&*#()\[\]])| ?\S+|\s+")
+    PLAIN = re.compile(f" ?{LETTER}+")
     ODD = re.compile("[\x1c-\x1f]")
 
     def __init__(self, path: str):
@@ -123,8 +127,17 @@ class WordEncoder:
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
+        # the byte-level alphabet: printable Latin-1 stands for itself
+        own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [b for b in range(256) if b not in own]
+        self.alphabet = {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(rest)}
         self.clear()
 
+    def _ids(self, word: str) -> list[int]:
+        if self.PLAIN.fullmatch(word):
+            return [t.id for t in self.tok.model.tokenize(word.encode().decode("latin-1").translate(self.alphabet))]
+        return self.tok.encode(word, add_special_tokens=False).ids
+
     def clear(self) -> None:
         self.known: dict[str, int] = {}
         self.ids = np.empty(1 << 20, np.uint32)  # ids of all known words, side by side
@@ -133,7 +146,7 @@ class WordEncoder:
     def _learn(self, words: list[str]) -> None:
         for a in range(0, len(words), 2048):
             part = words[a:a + 2048]
-            got = [e.ids for e in self.tok.encode_batch_fast(part, add_special_tokens=False)]
+            got = [self._ids(w) for w in part]
             n = len(self.known)
             if n + len(part) + 1 > len(self.first):
                 self.first = np.concatenate([self.first, np.zeros_like(self.first)])
