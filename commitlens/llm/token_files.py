@@ -39,7 +39,7 @@ MAGIC = b"DAC1"
 RANK_BITS = 512
 SEGMENT_IDS = 1 << 18
 #: Words whose ids one Python worker remembers.
-WORD_CACHE = 600_000
+WORD_CACHE = 1_200_000
 
 
 def encode(ids: np.ndarray) -> bytes:
@@ -141,14 +141,14 @@ class WordEncoder:
     def clear(self) -> None:
         self.known: dict[str, int] = {}
         self.ids = np.empty(1 << 20, np.uint32)  # ids of all known words, side by side
-        self.first = np.zeros(WORD_CACHE * 2, np.int64)
+        self.first = np.zeros(1 << 16, np.int64)
 
     def _learn(self, words: list[str]) -> None:
         for a in range(0, len(words), 2048):
             part = words[a:a + 2048]
             got = [self._ids(w) for w in part]
             n = len(self.known)
-            if n + len(part) + 1 > len(self.first):
+            while n + len(part) + 1 > len(self.first):
                 self.first = np.concatenate([self.first, np.zeros_like(self.first)])
             at = self.first[n] + np.cumsum([len(g) for g in got])
             while at[-1] > len(self.ids):
@@ -236,6 +236,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """Per document of a token file, in file order: id, start, n_tokens,
     ids_crc32 -- decoded from the codes."""
     segs = spark.read.schema(_SCHEMA).parquet(path)
+    # one row per part, that is per shuffle partition of the writer
     totals = segs.groupBy("part").agg(F.sum("n_ids").alias("_n"))
     starts = running_start(totals.withColumn("_all", F.lit(0)), "part", "_n", ["_all"]).drop("_all")
 
@@ -250,7 +251,7 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
                     "start": begins + b.column(0)[i].as_py(), "n_tokens": ends - begins,
                     "ids_crc32": pa.array([zlib.crc32(ids[x:y].tobytes()) for x, y in zip(begins, ends)], pa.int64())})
 
-    return (segs.join(starts, "part").select((F.col("_start") + F.col("part_start")).alias("at"), "doc_ids", "ends", "dac")
+    return (segs.join(F.broadcast(starts), "part").select((F.col("_start") + F.col("part_start")).alias("at"), "doc_ids", "ends", "dac")
             .mapInArrow(documents, "doc_id long, start long, n_tokens long, ids_crc32 long"))
 
 
