@@ -39,7 +39,7 @@ MAGIC = b"DAC1"
 RANK_BITS = 512
 SEGMENT_IDS = 1 << 18
 #: Words whose ids one Python worker remembers.
-WORD_CACHE = 1_200_000
+WORD_CACHE = 600_000
 
 
 def encode(ids: np.ndarray) -> bytes:
@@ -104,6 +104,18 @@ class Codes:
         return out
 
 
+class _Numbered(dict):
+    """Numbers words as they are asked for; ``new``: those of late."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        self.new.append(word)
+        return n
+
+
 class WordEncoder:
     """Whole texts through the tokenizers library, one word at a time.
 
@@ -135,41 +147,44 @@ class WordEncoder:
 
     def _ids(self, word: str) -> list[int]:
         if self.PLAIN.fullmatch(word):
+            if word.isascii():
+                return [t.id for t in self.tok.model.tokenize(word.replace(" ", self.alphabet[32]))]
             return [t.id for t in self.tok.model.tokenize(word.encode().decode("latin-1").translate(self.alphabet))]
         return self.tok.encode(word, add_special_tokens=False).ids
 
     def clear(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = _Numbered()
         self.ids = np.empty(1 << 20, np.uint32)  # ids of all known words, side by side
         self.first = np.zeros(1 << 16, np.int64)
 
-    def _learn(self, words: list[str]) -> None:
-        for a in range(0, len(words), 2048):
-            part = words[a:a + 2048]
-            got = [self._ids(w) for w in part]
-            n = len(self.known)
-            while n + len(part) + 1 > len(self.first):
-                self.first = np.concatenate([self.first, np.zeros_like(self.first)])
-            at = self.first[n] + np.cumsum([len(g) for g in got])
-            while at[-1] > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-            self.ids[self.first[n]:at[-1]] = [i for g in got for i in g]
-            self.first[n + 1:n + 1 + len(part)] = at
-            self.known.update(zip(part, range(n, n + len(part))))
+    def _learn(self) -> None:
+        """Ids of the words that were numbered since the last call."""
+        words, self.known.new = self.known.new, []
+        if not words:
+            return
+        got = [self._ids(w) for w in words]
+        n = len(self.known) - len(words)
+        while n + len(words) + 1 > len(self.first):
+            self.first = np.concatenate([self.first, np.zeros_like(self.first)])
+        at = self.first[n] + np.cumsum([len(g) for g in got])
+        while at[-1] > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+        self.ids[self.first[n]:at[-1]] = list(chain.from_iterable(got))
+        self.first[n + 1:n + 1 + len(words)] = at
 
     def batch(self, texts: list[str]) -> Iterator[np.ndarray]:
         if len(self.known) > WORD_CACHE:
             self.clear()
         odd = {i: self.tok.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts) if self.ODD.search(t)}
         cut = [[] if i in odd else self.CUT.findall(t) for i, t in enumerate(texts)]
-        words = list(chain.from_iterable(cut))
-        self._learn(list(set(words) - self.known.keys()))
-        code = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        count = np.cumsum([0, *map(len, cut)])
+        code = np.fromiter(map(self.known.__getitem__, chain.from_iterable(cut)), np.int64, count[-1])
+        self._learn()
         begin = self.first[code]
         n = self.first[code + 1] - begin
         ends = np.concatenate([[0], np.cumsum(n)])
         flat = self.ids[np.repeat(begin - ends[:-1], n) + np.arange(ends[-1])]
-        at = ends[np.concatenate([[0], np.cumsum([len(c) for c in cut])])]
+        at = ends[count]
         for i, (a, b) in enumerate(zip(at[:-1], at[1:])):
             yield np.array(odd[i], np.uint32) if i in odd else flat[a:b]
 
