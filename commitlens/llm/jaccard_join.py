@@ -23,12 +23,14 @@ pieces are all its own has no partner.  Only what remains is joined.
 
 **Pairs.**  Equal sets are one class from the start.  In a group of
 classes that share a piece, all are first compared with the group's
-smallest class.  After these links are joined to components, only pairs
-of *different* components within a group are compared, so a large group
-of near copies costs one comparison a member, not a square, and no link
-that could join two components is left out.  A candidate must pass the
-size bound, then the Hamming bound on a short sketch of both, then the
-exact count on both sets.
+smallest class.  After these links are joined to components, those outside
+a group's largest component are compared with ``CENTRES`` members of it,
+``ROUNDS`` times.  At last every pair of *different* components within a
+group is compared.  So a large group of near copies costs a few
+comparisons a member, not a square, and no link that could join two
+components is left out.  A candidate must pass the size bound and the
+Hamming bound on 512 bits of both inside the join, then the Hamming bound
+on a sketch as long as the sets, then the exact count on both sets.
 
 Defined cases: null and empty texts and texts without words have size 0
 and link with nothing (their component is their own id); repeated rows are
@@ -54,6 +56,8 @@ FIRST = 256
 WORDS = 5
 #: Shingles a piece holds on average in the largest sets of a band.
 PER_PIECE = 2.2
+#: Members of the largest component that the rest of a group meets a round.
+CENTRES, ROUNDS = 6, 2
 _SALT = U64(0x5851F42D4C957F2D)
 
 
@@ -113,12 +117,22 @@ def _rows(batches: Iterable[pa.RecordBatch], step: int = 512) -> Iterator[tuple[
             yield s.column(0), shingle_sets(s.column(1), WORDS)
 
 
-_INFO = "doc_id long, cls long, n int, own_spare int, low_spare int, own_sketch binary, low_sketch binary"
+FOLDS = [f"b{i}" for i in range(8)]
+_INFO = "doc_id long, cls long, n int, own_spare int, low_spare int, own_sketch binary, low_sketch binary, " + ", ".join(
+    f"{b} long" for b in FOLDS)
+_MEMBER = ["cls", "n", *FOLDS]
+
+
+def may_link(x: str, y: str) -> str:
+    """SQL: size bound and Hamming bound on 512 bits, for prefixes x and y."""
+    bits = " + ".join(f"bit_count({x}{b} ^ {y}{b})" for b in FOLDS)
+    return f"4 * least({x}n, {y}n) >= 3 * greatest({x}n, {y}n) and 7 * ({bits}) <= {x}n + {y}n"
 
 
 def _describe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for ids, sets in _rows(batches):
         out: list[list] = [[] for _ in range(6)]
+        folds = []
         for s in sets:
             n = len(s)
             k, low = band(n), low_band(n)
@@ -127,9 +141,12 @@ def _describe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                    short_sketch(s, k) if n else None, short_sketch(s, low) if low >= 0 else None)
             for col, v in zip(out, row):
                 col.append(v)
+            folds.append(np.packbits((np.bincount((s % U64(512)).astype(np.int64), minlength=512) & 1).astype(bool)).view(np.int64))
+        folds = np.array(folds, np.int64).reshape(-1, 8)
         yield pa.RecordBatch.from_arrays(
             [ids.cast(pa.int64()), pa.array(out[0], pa.int64()), *(pa.array(c, pa.int32()) for c in out[1:4]),
-             *(pa.array(c, pa.binary()) for c in out[4:])], ["doc_id", "cls", "n", "own_spare", "low_spare", "own_sketch", "low_sketch"])
+             *(pa.array(c, pa.binary()) for c in out[4:]), *(pa.array(folds[:, i]) for i in range(8))],
+            ["doc_id", "cls", "n", "own_spare", "low_spare", "own_sketch", "low_sketch", *FOLDS])
 
 
 def _pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +211,7 @@ class JaccardJoin:
         self.classes = stored(self.info.filter("cls is not null").groupBy("cls").agg(
             F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("own_spare").alias("own_spare"),
             F.first("low_spare").alias("low_spare"), F.first("own_sketch").alias("own_sketch"),
-            F.first("low_sketch").alias("low_sketch")), "classes")
+            F.first("low_sketch").alias("low_sketch"), *(F.first(b).alias(b) for b in FOLDS)), "classes")
 
     def shared_pieces(self) -> DataFrame:
         """key, cls: the first D + 1 pieces of every class, rarest first,
@@ -207,10 +224,10 @@ class JaccardJoin:
         lists = common.groupBy("cls", "low").agg(F.sort_array(F.collect_set(F.struct("df", "key"))).alias("ks"))
 
         # a class's own pieces come first in the order: of D + 1, they leave _take
-        rows = lists.join(self.classes.select("cls", "n", "own_spare", "low_spare"), "cls")
+        rows = lists.join(self.classes.select(*_MEMBER, "own_spare", "low_spare"), "cls")
         rows = rows.withColumn("_take", F.size("ks") - F.when(F.col("low"), F.col("low_spare")).otherwise(F.col("own_spare")))
-        first = rows.filter("_take > 0").select("cls", "n", F.explode(F.slice("ks", F.lit(1), F.least("_take", F.size("ks")))).alias("k"))
-        return stored(first.select("k.key", "cls", "n"), "pieces")
+        first = rows.filter("_take > 0").select(*_MEMBER, F.explode(F.slice("ks", F.lit(1), F.least("_take", F.size("ks")))).alias("k"))
+        return stored(first.select("k.key", *_MEMBER), "pieces")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of classes that link."""
@@ -236,25 +253,37 @@ class JaccardJoin:
 
     def links(self) -> DataFrame:
         """Class pairs ``u, v`` that link: enough of them to join every
-        component, and every one outside large groups' components."""
+        component."""
         shared = self.shared_pieces()
-        centre = shared.groupBy("key").agg(F.min(F.struct("cls", "n")).alias("c"))
-        fits = "4 * least({0}, {1}) >= 3 * greatest({0}, {1})"
-        star = (shared.join(centre, "key").filter("cls <> c.cls and " + fits.format("n", "c.n"))
-                .select(F.col("c.cls").alias("a"), F.col("cls").alias("b")).distinct())
-        first = stored(self.verified(star), "links")
-        roots = components(first.select(F.col("a").alias("u"), F.col("b").alias("v")))
-        named = shared.join(roots, F.col("cls") == F.col("node"), "left").select(
-            "key", "cls", "n", F.coalesce("root", "cls").alias("root"))
-        w = Window.partitionBy("key")
-        mixed = stored(named.select("*", F.min("root").over(w).alias("_a"), F.max("root").over(w).alias("_b"),
-                                    F.min("cls").over(w).alias("_c")).filter("_a <> _b").drop("_a", "_b"), "mixed")
+        centre = shared.groupBy("key").agg(F.min(F.struct(*_MEMBER)).alias("c"))
+        star = shared.join(centre, "key").filter("cls <> c.cls and " + may_link("", "c."))
+        links = stored(self.verified(star.select(F.col("c.cls").alias("a"), F.col("cls").alias("b")).distinct()), "links")
+        for turn in range(ROUNDS):
+            mixed = self._mixed(shared, links)
+            count = mixed.groupBy("key", "root").agg(F.count("cls").alias("c"))
+            main = count.groupBy("key").agg(F.max_by("root", F.struct("c", "root")).alias("main"))
+            seen = mixed.join(main, "key")
+            few = [F.min(F.struct(F.xxhash64("cls", F.lit(turn * CENTRES + i)).alias("h"), *_MEMBER)).alias(f"c{i}") for i in range(CENTRES)]
+            centres = seen.filter("root = main").groupBy("key").agg(*few).select("key", F.array_distinct(F.array(
+                *(f"c{i}" for i in range(CENTRES)))).alias("cs"))
+            tried = (seen.filter("root <> main").join(centres.select("key", F.explode("cs").alias("c")), "key")
+                     .filter(may_link("", "c.")).select(F.least("cls", "c.cls").alias("a"), F.greatest("cls", "c.cls").alias("b")))
+            links = stored(links.union(self.verified(tried.distinct())), "links")
+        mixed = self._mixed(shared, links)
         x, y = mixed.alias("x"), mixed.alias("y")
-        # a group's centre has met every member in the first round
-        across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.cls") < F.col("y.cls")) & (F.col("x.cls") > F.col("x._c"))
-                        & (F.col("x.root") != F.col("y.root")) & F.expr(fits.format("x.n", "y.n")))
-        second = self.verified(across.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct())
-        return stored(first.union(second).select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
+        across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.cls") < F.col("y.cls"))
+                        & (F.col("x.root") != F.col("y.root")) & F.expr(may_link("x.", "y.")))
+        rest = self.verified(across.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct())
+        return stored(links.union(rest), "links").select(F.col("a").alias("u"), F.col("b").alias("v"))
+
+    def _mixed(self, shared: DataFrame, links: DataFrame) -> DataFrame:
+        """Members, with their component's root, of the pieces that more
+        than one component holds."""
+        roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+        named = shared.join(roots, F.col("cls") == F.col("node"), "left").select(
+            "key", *_MEMBER, F.coalesce("root", "cls").alias("root"))
+        ends = named.groupBy("key").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).filter("_a <> _b").select("key")
+        return stored(named.join(ends, "key", "left_semi"), "mixed")
 
     def members(self) -> DataFrame:
         """doc_id, n_shingles, class_id, component_id of every row."""
