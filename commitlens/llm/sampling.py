@@ -233,12 +233,30 @@ class Sampler:
         return [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
 
 
+_models: dict[str, PieceModel] = {}
+_samplers: dict[tuple, Sampler] = {}
+
+
+def piece_model(path: str) -> PieceModel:
+    """The worker's model, read once."""
+    if path not in _models:
+        _models[path] = PieceModel(path)
+    return _models[path]
+
+
+def word_sampler(path: str, theta: float, seed: int) -> Sampler:
+    """The worker's sampler; its lattices serve its later tasks."""
+    if (path, theta, seed) not in _samplers:
+        _samplers[path, theta, seed] = Sampler(piece_model(path), theta, seed)
+    return _samplers[path, theta, seed]
+
+
 def sample_pieces(df: DataFrame, model_path: str, theta: float = 2.0, seed: int = 0, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """``doc_id, ids`` of every row: one sampled segmentation of its text."""
 
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sampler = Sampler(PieceModel(model_path), theta, seed)
+        sampler = word_sampler(model_path, theta, seed)
         for b in batches:
             for a in range(0, b.num_rows, 512):
                 s = b.slice(a, 512)
@@ -256,7 +274,7 @@ def decode_pieces(df: DataFrame, model_path: str) -> DataFrame:
     """``doc_id, n_pieces, ids_crc32, text`` of rows ``doc_id, ids``."""
 
     def decode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = PieceModel(model_path)
+        model = piece_model(model_path)
         for b in batches:
             for a in range(0, b.num_rows, 256):
                 s = b.slice(a, 256)
