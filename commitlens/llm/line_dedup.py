@@ -25,7 +25,8 @@ Defined cases: a null or empty text has one blank line and stays as it is
 (null: empty text); blank lines are kept and never counted; a document
 that loses every line stays with an empty text; repeated rows are treated
 alike; an empty table gives no rows; other columns are ignored by
-``drop_templates`` and kept by ``dedup_documents``.
+``dropped_lines`` and kept by ``dedup_documents``, unless their names
+begin with an underscore.
 """
 
 from __future__ import annotations

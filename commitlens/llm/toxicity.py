@@ -225,6 +225,7 @@ class BiGru:
         square = {k: np.zeros_like(v) for k, v in self.p.items()}
         step = 0
         span = np.diff(np.append(first, len(text)))
+        batch = min(BATCH, max(16, len(texts) // 8))  # eight steps an epoch at least
         for epoch in range(EPOCHS):
             some = first + (rng.random(len(texts)) * span).astype(np.int64)
             if epoch:
@@ -235,8 +236,8 @@ class BiGru:
             else:
                 pick = some
             pick = rng.permutation(pick)
-            for i in range(0, len(pick), BATCH):
-                at = pick[i:i + BATCH]
+            for i in range(0, len(pick), batch):
+                at = pick[i:i + batch]
                 grads = self.gradients(ws, windows[at], labels[text[at]].astype(np.float32),
                                        rng.random(len(ws.word)) < HIDE)
                 step += 1

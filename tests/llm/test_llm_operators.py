@@ -1,0 +1,428 @@
+"""Operators of commitlens.llm against brute force on small tables."""
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from commitlens.llm import chat, fingerprints, jaccard_join, line_dedup, packing, sampling, search, sharding, token_files, toxicity
+from commitlens.llm.graph import components
+from commitlens.llm.queries import LLM_QUERIES
+
+SMALL = "/root/testdata/sf0.001"
+WORD = re.compile("[^\x20\x09-\x0D]+")
+LOW = {65 + i: 97 + i for i in range(26)}
+LONG = " ".join(f"w{i % 977}x{i}" for i in range(6000))
+#: nulls, empties, ties, repeated rows, odd characters, a long text
+EDGE = [(1, "a b c d e f"), (2, None), (3, ""), (4, "A B c\td e\nf"), (4, "A B c\td e\nf"), (None, "null id here"),
+        (7, "▁ é 🙂\x1c x\n\n  y"), (8, LONG), (9, LONG + " tail"), (10, "one two"), (11, "one two"), (12, " \t ")]
+
+
+@pytest.fixture(scope="module")
+def edge(spark):
+    """Documents with clashing extra columns."""
+    rows = [(i, t, "x", "y", None, 5, "z") for i, t in EDGE]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, cls int, _key string").repartition(3)
+
+
+@pytest.fixture(scope="module")
+def empty(edge):
+    return edge.filter("1 = 0")
+
+
+def small(name):
+    return duckdb.sql(f"select * from '{SMALL}/{name}.parquet'").fetchall()
+
+
+def documents():
+    return duckdb.sql(f"select doc_id, text from '{SMALL}/documents.parquet' order by 1").fetchall()
+
+
+def shingles(text):
+    w = WORD.findall((text or "").translate(LOW))
+    if len(w) < 5:
+        return {tuple(w)} if w else set()
+    return {tuple(w[i:i + 5]) for i in range(len(w) - 4)}
+
+
+def brute_components(rows):
+    sets = [shingles(t) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            both = len(a & sets[j])
+            if both and 100 * both >= 75 * len(a | sets[j]):
+                root[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(rows):
+        if d is not None:
+            least[find(i)] = min(d, least.get(find(i), d))
+    return [(d, len(s), (least.get(find(i)) if s else d)) for i, ((d, _), s) in enumerate(zip(rows, sets))]
+
+
+def key(r):
+    return tuple((x is None, x) for x in r)
+
+
+def test_jaccard_join_equals_brute_force(spark, edge, empty):
+    got = LLM_QUERIES["op2_ngram_jaccard_join"](spark, SMALL).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got)) == sorted(brute_components(documents()))
+    got = jaccard_join.JaccardJoin(edge).members().select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got), key=key) == sorted(brute_components(EDGE), key=key)
+    assert jaccard_join.JaccardJoin(empty).members().count() == 0
+
+
+def test_jaccard_join_of_a_large_near_copy_group(spark):
+    rng = np.random.default_rng(5)
+    base = [f"t{i}" for i in range(90)]
+    rows = []
+    for d in range(120):
+        w = list(base)
+        for p in rng.choice(90, 2, replace=False):
+            w[p] = f"n{d}_{p}"
+        rows.append((d, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard_join.JaccardJoin(df).members().select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got)) == sorted(brute_components(rows))
+
+
+def test_prefix_covers_every_linked_pair():
+    rng = np.random.default_rng(1)
+    for n in (1, 2, 3, 4, 7, 40, 255, 257, 300, 600, 1100):
+        for extra in {0, n // 8, n // 3}:
+            a = np.unique(rng.integers(0, 2 ** 63, n).astype(np.uint64))
+            b = np.unique(np.concatenate([a, rng.integers(0, 2 ** 63, extra).astype(np.uint64)]))
+            if 100 * len(a) < 75 * len(b):
+                continue
+            k = jaccard_join.band(len(a))
+            assert k in (jaccard_join.band(len(b)), jaccard_join.low_band(len(b)))
+            x, y = (np.sort(jaccard_join.piece_keys(s, k)) for s in (a, b))
+            x, y = x[:jaccard_join.prefix(len(a), k)], y[:jaccard_join.prefix(len(b), k)]
+            assert set(x.tolist()) & set(y.tolist())
+
+
+def test_components_of_a_long_chain(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 100)], "u long, v long")
+    got = {r["node"]: r["root"] for r in components(edges).collect()}
+    assert got == {**{i: 0 for i in range(1, 61)}, 101: 100}
+
+
+def test_fingerprints(spark, edge, empty):
+    rows = documents()
+    got = {r["doc_id"]: r for r in LLM_QUERIES["op1_document_fingerprints"](spark, SMALL).collect()}
+    assert len(got) == len(rows)
+    by_text = {}
+    for k, (d, t) in enumerate(rows):
+        half = len(t) // 2
+        edited = t[:len(t) - half] + rows[(k + 1) % len(rows)][1][:half]
+        r = got[d]
+        assert (r["n_chars"], r["edited_sha256"]) == (len(t), hashlib.sha256(edited.encode()).hexdigest())
+        assert 0 <= r["near_next"] <= 1 and 0 <= r["near_edited"] <= 1
+        assert by_text.setdefault(t, r["fingerprint"]) == r["fingerprint"]
+    assert np.mean([r["near_edited"] > r["near_next"] for r in got.values()]) > 0.9
+    out = fingerprints.fingerprint_pairs(edge).collect()
+    assert len(out) == len(EDGE)
+    assert len({r["fingerprint"] for r in out if r["doc_id"] in (2, 3, 12)}) == 1
+    assert len({r["fingerprint"] for r in out if r["doc_id"] in (10, 11)}) == 1
+    assert fingerprints.fingerprint_pairs(empty).count() == 0
+    one = fingerprints.fingerprint_pairs(edge.filter("doc_id = 1")).collect()
+    assert one[0]["edited_sha256"] == hashlib.sha256(b"a b c a b c"[:6] + b"a b c"[:5]).hexdigest()
+    plan = fingerprints.fingerprint_pairs(edge)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow|Pandas", plan)
+
+
+def test_sampled_segmentations_are_lossless_and_reproducible(spark, edge, empty):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    got = LLM_QUERIES["op3_sentencepiece"](spark, SMALL).collect()
+    assert {r["doc_id"]: (r["n_chars"], r["text_crc32"]) for r in got} == {
+        d: (len(t), zlib.crc32(t.encode())) for d, t in documents()}
+    ids = sampling.sample_pieces(edge, path)
+    first, again = (sorted(((r["doc_id"], r["ids"]) for r in x.collect()), key=lambda r: str(r)) for x in (ids, ids.repartition(7)))
+    assert first == again
+    back = sorted(((r["doc_id"], r["text"]) for r in sampling.decode_pieces(ids, path).collect()), key=key)
+    assert back == sorted(((d, t or "") for d, t in EDGE), key=key)
+    assert sampling.sample_pieces(empty, path).count() == 0
+
+
+def test_sampling_follows_the_path_weights():
+    model = sampling.PieceModel(public_tokenizers.path("piece_bpe_32k.model"))
+    word = "▁then"
+
+    def paths(at):
+        if at == len(word):
+            yield (), 1.0
+        for b in range(at + 1, len(word) + 1):
+            i = model.plain.get(word[at:b])
+            if i is not None:
+                for rest, w in paths(b):
+                    yield (i, *rest), w * math.exp(model.log_weight[i])
+
+    weight = dict(paths(0))
+    total = sum(weight.values())
+    sampler = sampling.Sampler(model, theta=1.0, seed=4)
+    n = 20_000
+    seen = Counter(tuple(x.tolist()) for x in sampler.encode(np.arange(n, dtype=np.uint64), ["then"] * n))
+    for p, w in weight.items():
+        q = w / total
+        assert abs(seen[p] / n - q) < 5 * math.sqrt(q / n) + 1e-3
+
+
+def test_packing_boundaries_are_optimal(spark, edge, empty):
+    rng = np.random.default_rng(2)
+    for _ in range(20):
+        cells = sorted({int(x): int(rng.integers(1, 9)) for x in rng.integers(1, 60, 9)}.items())
+        tops = [t for t, _ in cells]
+
+        def padding(bounds):
+            return sum(n * min(b for b in bounds if b >= t) for t, n in cells)
+
+        from itertools import combinations
+        least = min(padding((*c, tops[-1])) for k in range(3) for c in combinations(tops[:-1], k))
+        got = packing.best_boundaries(cells, 3)
+        assert len(got) <= 3 and padding(got) == least
+    rows = packing.pack(edge, buckets=3, budget=64).collect()
+    assert len(rows) == len(EDGE)
+    for r in rows:
+        assert r["n_tokens"] <= r["padded_length"] and r["slot"] < max(1, 64 // r["padded_length"])
+    assert len({(r["bucket"], r["batch"], r["slot"]) for r in rows}) == len(rows)
+    assert packing.pack(empty).count() == 0
+    got = LLM_QUERIES["op4_packing"](spark, SMALL).collect()
+    assert {r["doc_id"]: r["n_tokens"] for r in got} == {d: len(WORD.findall(t)) + 1 for d, t in documents()}
+    for bucket in {r["bucket"] for r in got}:
+        inside = sorted((r["batch"], r["slot"], r["doc_id"]) for r in got if r["bucket"] == bucket)
+        assert [d for _, _, d in inside] == sorted(d for _, _, d in inside)
+
+
+def sql_rows(sql, sf=SMALL):
+    con = duckdb.connect()
+    for t in ("documents", "conversations"):
+        con.sql(f"create view {t} as select * from '{sf}/{t}.parquet'")
+    rel = con.sql(sql)
+    return rel.columns, rel.fetchall()
+
+
+@pytest.mark.parametrize("name, module", [("op5_line_dedup", line_dedup), ("op7_chat_formatting", chat)])
+def test_sql_oracles(spark, name, module):
+    cols, rows = sql_rows(module.ORACLE_SQL)
+    got = LLM_QUERIES[name](spark, SMALL).select(*cols).collect()
+    assert sorted(map(tuple, got), key=key) == sorted(rows, key=key)
+
+
+def test_line_dedup_drops_templates_and_keeps_copies(spark, edge, empty):
+    own = [" ".join(f"{chr(97 + i)}{chr(97 + j)}" for j in range(8)) for i in range(12)]
+    rows = [(i, f"{own[i]}\nVisit page {i} of our shop\n\nlast {chr(97 + i)}") for i in range(12)]
+    rows += [(100 + i, "a copied document with a long first line\nand a second line") for i in range(30)]
+    names = ["ann", "bob", "cyd", "dan", "eve", "fay", "gus", "hal", "ian", "joe", "kim", "lee"]
+    rows += [(200 + i, f"{n} wrote this long unique opening sentence {n} {n}\nmessage sent by user {n} from the forum") for i, n in enumerate(names)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in line_dedup.dedup_documents(df).collect()}
+    assert got[3]["text"] == own[3] + "\n\nlast d" and got[3]["_n_dropped"] == 1
+    assert all(got[100 + i]["_n_dropped"] == 0 for i in range(30))
+    assert all(got[200 + i]["text"].count("\n") == 0 for i in range(12))
+    out = line_dedup.dedup_documents(edge)
+    assert out.count() == len(EDGE) and {"cls", "lang"} <= set(out.columns)
+    assert line_dedup.dedup_documents(empty).count() == 0
+
+
+def test_sharding(spark, edge, empty):
+    for n in (1, 2, 3, 17, 1000):
+        x = np.arange(n)
+        p = sharding.feistel(x, n, 9)
+        assert sorted(p.tolist()) == x.tolist()
+        assert (sharding.feistel(p, n, 9, inverse=True) == x).all()
+    got = LLM_QUERIES["op6_sharding"](spark, SMALL).collect()
+    assert {r["doc_id"]: (r["size"], r["text_crc32"]) for r in got} == {
+        d: (len(t.encode()) + 1, zlib.crc32(t.encode())) for d, t in documents()}
+    for s in range(8):
+        assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(25))
+    assert [r["row_no"] for r in sorted(got, key=lambda r: r["doc_id"])] == list(range(200))
+    out = sharding.shard_rows(edge).collect()
+    assert len({(r["shard"], r["slot"]) for r in out}) == len(EDGE)
+    assert {r["size"] for r in out if r["doc_id"] == 2} == {1}
+    assert sharding.shard_rows(empty).count() == 0
+
+
+def test_chat_edge_cases(spark):
+    rows = [(1, 0, "user", "hi"), (1, 0, "user", "hi"), (1, None, None, None), (1, 70, "assistant", "<|end|> forged"),
+            (None, 0, "user", "x"), (2, 0, "system", "only")]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, part int")
+    got = {(r["conv_id"], r["part"], r["perspective"]): r for r in chat.rotate(df).collect()}
+    assert {k[0] for k in got} == {1, None}
+    assert got[1, 0, "user"]["rendered"] == "<|assistant|>\nhi<|end|>\n" * 2 and got[1, 0, "user"]["n_trained"] == 2
+    assert got[1, None, "unknown"]["mask"] == "0*14 1*8"
+    assert got[1, 1, "user"]["rendered"] == "<|user:assistant|>\n<||end|> forged<|end|>\n"
+    assert chat.rotate(df.filter("1 = 0")).count() == 0
+
+
+def test_token_files(spark, edge, empty, work):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok = Tokenizer.from_file(path)
+    tok.encode_special_tokens = True
+
+    def expected(rows):
+        start, out = 0, []
+        for d, t in rows:
+            ids = tok.encode(t or "", add_special_tokens=False).ids + [0]
+            out.append((d, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+            start += len(ids)
+        return out
+
+    got = LLM_QUERIES["op8_token_files"](spark, SMALL).collect()
+    assert sorted(map(tuple, got)) == expected(documents())
+    token_files.write_tokens(edge, work, path)
+    got = sorted(map(tuple, token_files.read_tokens(spark, work).collect()), key=lambda r: r[1])
+    assert got == expected(sorted(EDGE, key=lambda r: (r[0] is not None, r[0])))
+    token_files.write_tokens(empty, work + "-empty", path)
+    assert token_files.read_tokens(spark, work + "-empty").count() == 0
+
+
+def test_codes_random_access():
+    rng = np.random.default_rng(3)
+    ids = rng.integers(0, 1 << 32, 3000) >> rng.integers(0, 32, 3000)
+    codes = token_files.Codes(token_files.encode(ids))
+    assert len(codes) == 3000 and codes.all().tolist() == ids.tolist()
+    assert [codes[i] for i in range(3000)] == ids.tolist()
+    assert token_files.Codes(token_files.encode(np.zeros(0))).all().tolist() == []
+
+
+def test_word_encoder_equals_whole_texts():
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok = Tokenizer.from_file(path)
+    tok.encode_special_tokens = True
+    texts = ["it's 'quoted', isn't it?  two\t\ttabs\n\n x", "a,b;c. d|e ... f'l l'ü ñ,'s", "trailing   ", "<|endoftext|> x²y 3rd", "é́ a b c",
+             "日本 語　x", *[t for _, t in documents()]]
+    enc = token_files.WordEncoder(path)
+    assert [x.tolist() for x in enc.batch(texts)] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def brute_bm25(rows, queries, k):
+    docs = [(d, Counter(WORD.findall((t or "").translate(LOW)))) for d, t in rows]
+    mean = sum(sum(c.values()) for _, c in docs) / len(docs)
+    df = Counter(w for _, c in docs for w in c)
+    out = {}
+    for q, text in queries:
+        words = set(WORD.findall((text or "").translate(LOW)))
+        found = []
+        for d, c in docs:
+            size = sum(c.values())
+            s = sum(math.log(1 + (len(docs) - df[w] + 0.5) / (df[w] + 0.5)) * c[w] * 2.2 / (c[w] + 1.2 * (0.25 + 0.75 * size / mean))
+                    for w in words if w in c)
+            if s > 0:
+                found.append((-s, d))
+        out[q] = [-s for s, _ in sorted(found, key=lambda f: f[0])[:k]], dict((d, -s) for s, d in found)
+    return out
+
+
+def test_search_is_exact(spark, edge, empty):
+    rows = documents()
+    want = brute_bm25(rows, [r for r in rows if r[0] % 100 == 0], 10)
+    got = {}
+    for r in sorted(LLM_QUERIES["op9_topk_search"](spark, SMALL).collect(), key=lambda r: (r["query_id"], r["rank"])):
+        got.setdefault(r["query_id"], []).append((r["doc_id"], r["score"]))
+    assert got.keys() == want.keys()
+    for q, found in got.items():
+        assert np.allclose([s for _, s in found], want[q][0])
+        assert np.allclose([s for _, s in found], [want[q][1][d] for d, _ in found])
+    few = spark.createDataFrame([(1, "one tail"), (2, None), (3, "zzz"), (None, "one")], "query_id long, text string")
+    hits = search.Bm25(edge).search(few, 2).collect()
+    assert [(r["query_id"], r["rank"]) for r in sorted(hits, key=lambda r: r["rank"])] == [(1, 1), (1, 2)]
+    assert {r["doc_id"] for r in hits} == {10, 11}
+    assert search.Bm25(empty).search(few).count() == 0
+
+
+def test_block_pruning_skips_blocks_and_keeps_results():
+    rng = np.random.default_rng(8)
+    n, common = 2048, np.arange(1, 30, dtype=np.uint64)
+    rows = [(np.unique(np.concatenate([rng.choice(common, 6), [np.uint64(1000 + i // 64)]])), i) for i in range(n)]
+    doc = np.concatenate([np.full(len(t), i) for t, i in rows])
+    term = np.concatenate([t for t, _ in rows])
+    by = np.argsort(term, kind="stable")
+    uniq, first = np.unique(term[by], return_index=True)
+    shard = search.Shard(np.arange(n), np.full(n, 7, np.int32).tobytes(), uniq.tobytes(), np.append(first, len(term)).astype(np.int32).tobytes(),
+                         doc[by].astype(np.uint16).tobytes(), np.ones(len(term), np.uint32).tobytes(), 7.0)
+    q, idf = np.array([3, 1005], np.uint64), np.array([0.2, 5.0])
+    at, got, scored = shard.top(q, idf, 5, 0.0)
+    everything = sum((np.isin(np.arange(n), doc[term == t]) * w for t, w in zip(q, idf)))
+    keep = search.best(at, got, 5)
+    assert scored < shard.blocks
+    assert np.allclose(got[keep], np.sort(everything)[::-1][:5])
+
+
+def test_toxicity_gradients_and_separation(spark, edge, empty):
+    texts, y = ["you stupid idiot loser today", "hello fine day and more words here", ""], np.array([1, 0, 0], np.float32)
+    net = toxicity.BiGru()
+    net.p = {k: v.astype(float) for k, v in net.p.items()}
+    ws = toxicity.Words(pa.array(texts))
+    windows, _ = ws.windows()
+
+    def loss():
+        logit = net.logits(ws, windows).astype(float)
+        return float(np.mean(np.logaddexp(0, logit) - y * logit))
+
+    grads = net.gradients(ws, windows, y)
+    for k in net.p:
+        flat, g = net.p[k].reshape(-1), grads[k].reshape(-1)
+        i, old = int(np.abs(g).argmax()), None
+        old = flat[i]
+        flat[i] = old + 1e-2
+        up = loss()
+        flat[i] = old - 1e-2
+        down = loss()
+        flat[i] = old
+        assert abs((up - down) / 2e-2 - g[i]) < 1e-3 + 0.02 * abs(g[i])
+    rng = np.random.default_rng(4)
+    clean = [" ".join(rng.choice(["sun", "rain", "tree", "walk", "road", "lake"], 150)) for _ in range(60)]
+    toxic = [t.replace("lake", "scum", 1) for t in clean[:30]]
+    model = toxicity.BiGru().fit(toxic + clean[30:], np.array([1] * 30 + [0] * 30))
+    fresh = [" ".join(rng.choice(["sun", "rain", "tree", "walk", "road", "lake"], 200)) for _ in range(20)]
+    good = toxicity.score_texts(model, pa.array(fresh))
+    bad = toxicity.score_texts(model, pa.array([f + " scum" for f in fresh]))
+    assert (bad >= 0.5).mean() > 0.9 and (good < 0.5).mean() > 0.9
+    scored = toxicity.with_scores(edge, model, ["doc_id", "cls"]).collect()
+    assert len(scored) == len(EDGE) and all(0 <= r["score"] <= 1 for r in scored)
+    assert len({r["score"] for r in scored if r["doc_id"] in (2, 3, 12)}) == 1
+    assert toxicity.with_scores(empty, model, ["doc_id"]).count() == 0
+    labels = spark.createDataFrame([(1, None), (None, 1), (99, 1)], "doc_id long, toxic int")
+    untrained = toxicity.train(edge, labels).p
+    assert all((untrained[k] == v).all() for k, v in toxicity.BiGru().p.items())
+
+
+def test_toxicity_query_on_held_out_rows(spark):
+    rows = LLM_QUERIES["op10_toxicity"](spark, "/root/testdata/sf0.01").collect()
+    labels = dict(duckdb.sql("select doc_id, toxic from '/root/testdata/sf0.01/labels.parquet'").fetchall())
+    assert len(rows) == 1000 and all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
+    held = [(r["predicted"], labels[r["doc_id"]]) for r in rows if r["held_out"] and r["doc_id"] in labels]
+    assert np.mean([p == t for p, t in held]) > 0.85
+
+
+def test_pipeline_stages(spark, edge, empty):
+    import corpus_pipeline
+
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "ngram_jaccard_join", "packing"]
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        assert stage(spark, edge, SMALL).columns == corpus_pipeline.COLUMNS
+        assert stage(spark, empty, SMALL).count() == 0
+    kept = corpus_pipeline.drop_near_copies(spark, edge, SMALL).collect()
+    want = {d for d, n, c in brute_components(EDGE) if n == 0 or d == c}
+    assert {r["doc_id"] for r in kept} == want and sum(r["doc_id"] == 4 for r in kept) <= 1
+    packed = corpus_pipeline.run(spark, SMALL)
+    assert 0 < packed.count() <= 200 and "padded_length" in packed.columns
+    assert packed.select(F.countDistinct("doc_id")).first()[0] == packed.count()
