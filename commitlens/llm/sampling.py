@@ -28,6 +28,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +40,11 @@ from commitlens.llm.common import U64, mix64, table
 MARK = "▁"
 RANK_SHIFT = 20.0
 #: Lattice edges one Python worker remembers before it starts anew.
-EDGE_CACHE = 3_000_000
+EDGE_CACHE = 1_500_000
 
 
 _STEP = U64(0xD1342543DE82EF95)
+_BITS = 18
 
 
 def _hash(piece: str) -> int:
@@ -75,11 +77,15 @@ class PieceModel:
         self.weight = np.array([self.log_weight.get(i, 0.0) for i in range(n)])
         # every beginning of a piece by its hash: the piece's id, or -1
         table = {p[:k]: -1 for p in self.plain for k in range(1, len(p) + 1)} | self.plain
-        hashes = np.array([_hash(p) for p in table], U64)
+        hashes = mix64(np.array([_hash(p) for p in table], U64))
         order = np.argsort(hashes)
         self.hashes, self.found = hashes[order], np.array(list(table.values()), np.int64)[order]
         if (self.hashes[1:] == self.hashes[:-1]).any():
             raise ValueError("two beginnings of pieces share a hash")
+        # first place of every value of the leading bits, and the most places of one
+        self.place = np.searchsorted(self.hashes >> U64(64 - _BITS), np.arange((1 << _BITS) + 1, dtype=U64))
+        self.crowd = int(np.diff(self.place).max())
+        self.place = np.minimum(self.place, len(self.hashes) - 1)
         self.bytes_of = [bytes([int(p[3:5], 16)]) if i in self.byte.values() else p.replace(MARK, " ").encode()
                          for i, p in enumerate(self.pieces)]
 
@@ -106,8 +112,15 @@ class PieceModel:
         for size in range(1, self.longest + 1):
             with np.errstate(over="ignore"):
                 h = h * _STEP + codes[at + size - 1]
-            place = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-            begins = self.hashes[place] == h
+            mixed = mix64(h)
+            place = self.place[mixed >> U64(64 - _BITS)]
+            begins = self.hashes[place] == mixed
+            for k in range(1, self.crowd):
+                miss = np.flatnonzero(~begins)
+                next_ = np.minimum(place[miss] + k, len(self.hashes) - 1)
+                hit = self.hashes[next_] == mixed[miss]
+                begins[miss[hit]] = True
+                place[miss[hit]] = next_[hit]
             got = np.where(begins, self.found[place], -1)
             if size == 1:
                 bare = np.flatnonzero(got < 0)
@@ -121,6 +134,18 @@ class PieceModel:
         return tuple(np.concatenate(c) for c in zip(*out[::-1]))  # long pieces, the likely ones, first
 
 
+class _Numbered(dict):
+    """Numbers words as they are asked for; ``new``: those of late."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self)
+        self.new.append(word)
+        return n
+
+
 def uniform(seed: int, keys: np.ndarray, word: np.ndarray, step: int) -> np.ndarray:
     """Numbers in [0, 1) that depend on the arguments alone."""
     with np.errstate(over="ignore"):
@@ -136,7 +161,8 @@ class Sampler:
         self.clear()
 
     def clear(self) -> None:
-        self.base: dict[str, int] = {}
+        self.known = _Numbered()
+        self.base = np.empty(1 << 16, np.int64)  # first node of every known word
         self.nodes = self.edges = 0
         self.first = np.empty(1 << 16, np.int64)  # first edge of every node
         self.cum = np.empty(1 << 18)  # node number + cumulative probability
@@ -180,7 +206,7 @@ class Sampler:
             alpha[end[e][seg]] = high + np.log(total)
             run = np.cumsum(x / np.repeat(total, many))
             cum[e] = run - np.repeat(run[seg] - x[seg] / total, many)
-        self.base.update(zip(words, (self.nodes + off + np.arange(len(words))).tolist()))
+        self._append("base", len(self.known) - len(words), self.nodes + off + np.arange(len(words)))
         for name, have, new in (("first", self.nodes, self.edges + first), ("cum", self.edges, self.nodes + end + cum),
                                 ("start", self.edges, self.nodes + start), ("ids", self.edges, ids)):
             self._append(name, have, new)
@@ -192,9 +218,11 @@ class Sampler:
         if self.edges > EDGE_CACHE:
             self.clear()
         cut = [self.model.WORD.findall(self.model.spell(t)) for t in texts]
-        words = [w for ws in cut for w in ws]
-        self._filter(list(set(words) - self.base.keys()))
-        base = np.fromiter(map(self.base.__getitem__, words), np.int64, len(words))
+        words = list(chain.from_iterable(cut))
+        code = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        new, self.known.new = self.known.new, []
+        self._filter(new)
+        base = self.base[code]
         node = base + np.fromiter(map(len, words), np.int64, len(words))
         per_text = np.fromiter(map(len, cut), np.int64, len(cut))
         begin = np.concatenate([[0], np.cumsum(per_text)])
@@ -258,8 +286,8 @@ def sample_pieces(df: DataFrame, model_path: str, theta: float = 2.0, seed: int
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sampler = word_sampler(model_path, theta, seed)
         for b in batches:
-            for a in range(0, b.num_rows, 512):
-                s = b.slice(a, 512)
+            for a in range(0, b.num_rows, 256):
+                s = b.slice(a, 256)
                 keys = np.array([-1 if k is None else k for k in s.column(0).to_pylist()], np.int64).view(U64)
                 got = sampler.encode(keys, [t or "" for t in s.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
