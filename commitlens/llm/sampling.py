@@ -40,7 +40,7 @@ from commitlens.llm.common import U64, mix64, table
 MARK = "▁"
 RANK_SHIFT = 20.0
 #: Lattice edges one Python worker remembers before it starts anew.
-EDGE_CACHE = 1_500_000
+EDGE_CACHE = 2_000_000
 
 
 _STEP = U64(0xD1342543DE82EF95)

@@ -389,9 +389,9 @@ def test_toxicity_gradients_and_separation(spark, edge, empty):
         flat[i] = old
         assert abs((up - down) / 2e-2 - g[i]) < 1e-3 + 0.02 * abs(g[i])
     rng = np.random.default_rng(4)
-    clean = [" ".join(rng.choice(["sun", "rain", "tree", "walk", "road", "lake"], 150)) for _ in range(60)]
-    toxic = [t.replace("lake", "scum", 1) for t in clean[:30]]
-    model = toxicity.BiGru().fit(toxic + clean[30:], np.array([1] * 30 + [0] * 30))
+    clean = [" ".join(rng.choice(["sun", "rain", "tree", "walk", "road", "lake"], 150)) for _ in range(240)]
+    toxic = [t.replace("lake", "scum", 6) for t in clean[:120]]
+    model = toxicity.BiGru().fit(toxic + clean[120:], np.array([1] * 120 + [0] * 120))
     fresh = [" ".join(rng.choice(["sun", "rain", "tree", "walk", "road", "lake"], 200)) for _ in range(20)]
     good = toxicity.score_texts(model, pa.array(fresh))
     bad = toxicity.score_texts(model, pa.array([f + " scum" for f in fresh]))
