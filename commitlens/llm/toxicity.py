@@ -23,6 +23,7 @@ gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -266,18 +267,25 @@ def fold(id_col: str = "doc_id"):
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> BiGru:
     """Fit on at most ``sample`` rows of each class outside the held-out
-    fold, taken in the order of a hash of the id."""
+    fold, taken in the order of a hash of the id.  The fit is one task on
+    these rows; only the parameters come to the driver."""
     known = (labels.filter("toxic is not null and doc_id is not null").select("doc_id", "toxic").filter(fold() != 0)
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
-    texts, ys = [], []
-    for y in (0, 1):
-        ids = known.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-        rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "text").collect()
-        rows = sorted({r["doc_id"]: r["text"] or "" for r in rows}.items())
-        texts += [t for _, t in rows]
-        ys += [y] * len(rows)
+    ids = [known.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample) for y in (0, 1)]
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids[0].union(ids[1])), "doc_id").select("doc_id", "toxic", "text")
+
+    def fit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = {i: (y, t or "") for b in batches for i, y, t in zip(*(c.to_pylist() for c in b.columns))}
+        order = sorted(got, key=lambda i: (got[i][0], i))
+        ys = np.array([got[i][0] for i in order])
+        if len(set(ys.tolist())) == 2:
+            net = BiGru().fit([got[i][1] for i in order], ys)
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(net.p)], pa.binary())], ["model"])
+
     model = BiGru()
-    return model.fit(texts, np.array(ys)) if len(set(ys)) == 2 else model
+    for r in rows.repartition(1).mapInArrow(fit, "model binary").collect():
+        model.p = pickle.loads(r["model"])
+    return model
 
 
 def with_scores(df: DataFrame, model: BiGru, keep: list[str], text_col: str = "text") -> DataFrame:
