@@ -28,13 +28,15 @@ def path_identity(c: Column | str) -> Column:
     return F.substring(F.sha1(_col(c)), 1, ID_WIDTH)
 
 
-def normalize_location(c: Column | str) -> Column:
+def normalize_location(c: Column | str, encoded: bool = False) -> Column:
     """Same table, same string: drops a ``file:`` scheme (any number of
-    slashes), percent-decodes, and drops trailing slashes except a lone
-    root.  ``+`` is protected first because ``url_decode`` reads it as a
-    space."""
+    slashes) and trailing slashes except a lone root.  ``encoded``
+    locations, those of a file's metadata, are percent-decoded as well;
+    configured ones are literal names.  ``+`` is protected first because
+    ``url_decode`` reads it as a space; what cannot be decoded stays."""
     x = F.regexp_replace(_col(c), r"^file:/+", "/")
-    x = F.try_url_decode(F.regexp_replace(x, r"\+", "%2B"))
+    if encoded:
+        x = F.coalesce(F.try_url_decode(F.regexp_replace(x, r"\+", "%2B")), x)
     return F.regexp_replace(x, r"(.)/+$", "$1")
 
 
@@ -55,7 +57,7 @@ def wildcard_path(path: Column | str, level: Column | str) -> Column:
     built = F.concat(F.array_join(F.concat(F.slice(parts, 1, n), stars), "/"), F.lit(LOG_SUFFIX))
     return (F.when(p.isNull() | lv.isNull(), F.lit(None).cast("string"))
             .when(lv.isin(*VALID_LEVELS), built)
-            .otherwise(F.raise_error(F.lit("WildCard Level should be -1, 0 or 1"))))
+            .otherwise(F.raise_error(F.lit(f"unknown wildcard level; use one of {VALID_LEVELS}"))))
 
 
 def config_level(extra_config: Column | str = EXTRA_CONFIG) -> Column:

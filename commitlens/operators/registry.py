@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from commitlens.functions.paths import (
+    VALID_LEVELS,
     config_level, has_wildcard_suffix, normalize_location, path_identity,
     strip_wildcard_suffix, table_log_path, wildcard_path,
 )
@@ -25,7 +26,7 @@ class ConfigError(ValueError):
 def config_scan(master: DataFrame, check_levels: bool = True) -> DataFrame:
     """S1 + F1: rows whose ``ignore`` is not true (NULL is dropped as
     well, as ``<>`` is NULL then), three columns.  With
-    ``check_levels`` every row must carry ``wildCardLevel``."""
+    ``check_levels`` every row must carry a valid ``wildCardLevel``."""
     rows = master.where(F.col(IGNORE) != F.lit(True)).select(PATH, IGNORE, EXTRA_CONFIG)
     if check_levels:
         missing = rows.where(~F.coalesce(F.map_contains_key(EXTRA_CONFIG, WILDCARD_LEVEL),
@@ -33,6 +34,10 @@ def config_scan(master: DataFrame, check_levels: bool = True) -> DataFrame:
         bad = [r[PATH] for r in missing.select(PATH).limit(20).collect()]
         if bad:
             raise ConfigError(f"config rows missing {WILDCARD_LEVEL}: {bad}")
+        wrong = rows.where(~F.coalesce(config_level().isin(*VALID_LEVELS), F.lit(False)))
+        bad = [r[PATH] for r in wrong.select(PATH).limit(20).collect()]
+        if bad:
+            raise ConfigError(f"config rows whose {WILDCARD_LEVEL} is not one of {VALID_LEVELS}: {bad}")
     return rows
 
 

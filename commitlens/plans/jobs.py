@@ -7,6 +7,7 @@ E3  refine new unrefined rows into per-commit metrics.
 
 from __future__ import annotations
 
+import sys
 import time
 
 from pyspark.sql import DataFrame, SparkSession
@@ -92,6 +93,8 @@ def run_ingest(spark: SparkSession, registry: RegistryStore, target_root: str, c
                     r[2] for r in collector.rows() if r[0] == "terminated"}:
                 time.sleep(0.2)
             spark.streams.removeListener(collector)
+            if not ids <= {r[2] for r in collector.rows() if r[0] == "terminated"} and sys.exc_info()[0] is None:
+                raise RuntimeError("termination events did not arrive; the progress rows may be incomplete")
     return queries
 
 

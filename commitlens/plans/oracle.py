@@ -27,7 +27,7 @@ def _with(*ctes: str) -> str:
     return "WITH " + ",".join(ctes) + "\n"
 
 
-def _cumulative_snapshot(name: str, actions: str, carried: str | None = None) -> str:
+def _snapshot_ctes(name: str, actions: str, carried: str | None = None) -> str:
     """CTEs ``{name}_ar .. {name}`` for the snapshot of ``actions`` (flat
     F1 rows).  ``carried`` optionally adds snapshot rows as adds."""
     carry = ""
@@ -42,7 +42,7 @@ def _cumulative_snapshot(name: str, actions: str, carried: str | None = None) ->
     SELECT *, rank() OVER (PARTITION BY deltaLocationIdentifier, add_path
                            ORDER BY commitVersion DESC NULLS LAST) AS rk
     FROM {actions} WHERE action = 'add') WHERE rk = 1
-), {name}_ar AS (
+), {name}_ar AS MATERIALIZED (
   SELECT deltaLocationIdentifier, deltaLocation AS data_path, commitVersion, committedOn, commitShortDate,
          add_path, size AS add_size, CAST(NULL AS VARCHAR) AS remove_path FROM {name}_dadds
   UNION ALL
@@ -50,19 +50,16 @@ def _cumulative_snapshot(name: str, actions: str, carried: str | None = None) ->
          CAST(NULL AS VARCHAR), CAST(NULL AS BIGINT), remove_path FROM {actions} WHERE action = 'remove'{carry}
 ), {name}_cv AS (
   SELECT DISTINCT deltaLocationIdentifier, commitVersion, committedOn, commitShortDate FROM {name}_ar
-), {name}_cum AS (
-  SELECT cv.commitVersion, cv.committedOn, cv.commitShortDate, ar.deltaLocationIdentifier,
-         ar.data_path, ar.add_path, ar.add_size, ar.remove_path
-  FROM {name}_ar ar JOIN {name}_cv cv
-    ON ar.deltaLocationIdentifier = cv.deltaLocationIdentifier AND ar.commitVersion <= cv.commitVersion
+), {name}_gone AS MATERIALIZED (
+  SELECT deltaLocationIdentifier, remove_path, min(commitVersion) AS removedAt
+  FROM {name}_ar WHERE remove_path IS NOT NULL GROUP BY 1, 2
 ), {name} AS (
-  SELECT ca.deltaLocationIdentifier, ca.data_path, ca.commitVersion, ca.committedOn, ca.commitShortDate,
-         ca.add_path, ca.add_size
-  FROM {name}_cum ca
-  WHERE ca.add_path IS NOT NULL AND NOT EXISTS (
-    SELECT 1 FROM {name}_cum cr
-    WHERE cr.remove_path IS NOT NULL AND cr.deltaLocationIdentifier = ca.deltaLocationIdentifier
-      AND cr.commitVersion = ca.commitVersion AND cr.remove_path = ca.add_path)
+  SELECT ar.deltaLocationIdentifier, ar.data_path, cv.commitVersion, cv.committedOn, cv.commitShortDate,
+         ar.add_path, ar.add_size
+  FROM {name}_ar ar
+  JOIN {name}_cv cv ON ar.deltaLocationIdentifier = cv.deltaLocationIdentifier AND ar.commitVersion <= cv.commitVersion
+  LEFT JOIN {name}_gone g ON g.deltaLocationIdentifier = ar.deltaLocationIdentifier AND g.remove_path = ar.add_path
+  WHERE ar.add_path IS NOT NULL AND (g.removedAt IS NULL OR g.removedAt > cv.commitVersion)
 )"""
 
 
@@ -79,8 +76,7 @@ ref_target AS (SELECT {REFINED} FROM f1_target WHERE action = 'commitInfo' AND o
 
 # -- F2 helpers ---------------------------------------------------------------
 
-_NORM = ("regexp_replace(url_decode(replace(regexp_replace({x}, '^file:/+', '/'), '+', '%2B')), "
-         "'(.)/+$', '\\1')")
+_NORM = "regexp_replace(regexp_replace({x}, '^file:/+', '/'), '(.)/+$', '\\1')"
 
 
 def _norm(x: str) -> str:
@@ -96,7 +92,8 @@ def _wc(p: str, lv: str) -> str:
 
 
 _PLAIN = """
-f2_plain AS (SELECT * FROM f2 WHERE right(deltaLocation, 2) <> '**')"""
+f2_plain AS (SELECT * REPLACE (CASE WHEN right(deltaLocation, 2) = '**' THEN left(deltaLocation, len(deltaLocation) - 2)
+                             ELSE deltaLocation END AS deltaLocation) FROM f2)"""
 
 _REG = f"""
 reg AS (
@@ -141,25 +138,25 @@ ORACLE: dict[str, str] = {
     "batch_partitions": _with(F1_CTE) +
         "SELECT DISTINCT 'deltaLocationIdentifier' AS partition_column, deltaLocationIdentifier AS value "
         "FROM f1_batch UNION SELECT DISTINCT 'commitShortDate', CAST(commitShortDate AS VARCHAR) FROM f1_batch",
-    "live_files": _with(F1_CTE, _cumulative_snapshot("snap", "f1")) + "SELECT * FROM snap",
+    "live_files": _with(F1_CTE, _snapshot_ctes("snap", "f1")) + "SELECT * FROM snap",
     "live_files_incremental": _with(
-        F1_CTE, _NEW_ROWS, _cumulative_snapshot("prev", "f1_target"),
+        F1_CTE, _NEW_ROWS, _snapshot_ctes("prev", "f1_target"),
         """
 prev_max AS (SELECT deltaLocationIdentifier, max(commitVersion) AS commitVersion FROM prev GROUP BY 1),
 prev_carry AS (SELECT p.* FROM prev p JOIN prev_max m
                ON p.deltaLocationIdentifier = m.deltaLocationIdentifier AND p.commitVersion = m.commitVersion)""",
-        _cumulative_snapshot("nxt", "f1_new", carried="prev_carry")) +
+        _snapshot_ctes("nxt", "f1_new", carried="prev_carry")) +
         "SELECT * FROM nxt n WHERE NOT EXISTS (SELECT 1 FROM prev_max m WHERE "
         "m.deltaLocationIdentifier = n.deltaLocationIdentifier AND m.commitVersion = n.commitVersion)",
-    "live_file_metrics": _with(F1_CTE, _cumulative_snapshot("snap", "f1")) +
+    "live_file_metrics": _with(F1_CTE, _snapshot_ctes("snap", "f1")) +
         "SELECT deltaLocationIdentifier, commitVersion, committedOn, commitShortDate, "
         "CAST(count(*) AS BIGINT) AS live_files, CAST(sum(coalesce(add_size, 0)) AS BIGINT) AS live_bytes "
         "FROM snap GROUP BY 1, 2, 3, 4",
-    "live_files_state": _with(F1_CTE, _cumulative_snapshot("snap", "f1")) +
+    "live_files_state": _with(F1_CTE, _snapshot_ctes("snap", "f1")) +
         """, mx AS (SELECT deltaLocationIdentifier, max(commitVersion) AS commitVersion FROM snap GROUP BY 1)
 SELECT s.* FROM snap s JOIN mx ON s.deltaLocationIdentifier = mx.deltaLocationIdentifier
   AND s.commitVersion = mx.commitVersion""",
-    "dedup_adds": _with(F1_CTE, _cumulative_snapshot("snap", "f1")) +
+    "dedup_adds": _with(F1_CTE, _snapshot_ctes("snap", "f1")) +
         "SELECT deltaLocationIdentifier, deltaLocation AS data_path, commitVersion, add_path, "
         "size AS add_size FROM snap_dadds",
     "replay_file_intervals": _with(F1_CTE) + """, ev AS (

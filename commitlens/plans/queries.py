@@ -55,9 +55,9 @@ def _snapshot(df: DataFrame) -> DataFrame:
 
 
 def _plain_config(spark, sf) -> DataFrame:
-    """F2 rows without ``**`` (all ``ignore`` values)."""
-    _, plain = registry.split_wildcards(fx.master_entries(spark, sf))
-    return plain
+    """All F2 rows, ``**`` stripped (all ``ignore`` values)."""
+    wild, plain = registry.split_wildcards(fx.master_entries(spark, sf))
+    return plain.unionByName(wild)
 
 
 def _registry(rows: DataFrame) -> DataFrame:

@@ -36,24 +36,9 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_work_dir(spark)
-    tune_for_local(spark)
     return spark
 
 
-# Above this many paths Spark lists files with a parallel job of one task
-# per path.  The streaming file source re-lists each micro-batch's files
-# (up to maxFilesPerTrigger), so on a cluster that job is right; in local
-# mode the "executors" are driver threads and the job only adds overhead.
-LOCAL_LISTING_THRESHOLD = 1 << 16
-
-
-def tune_for_local(spark: SparkSession) -> None:
-    """Settings that only pay off when driver and executors are one JVM."""
-    if spark.sparkContext.master.startswith("local"):
-        spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.threshold",
-                       str(LOCAL_LISTING_THRESHOLD))
-
-
 def ensure_work_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and materialised intermediates.
 

@@ -35,7 +35,7 @@ def with_commit_columns(df: DataFrame, file_col: Column | None = None,
     tcol = mtime_col if mtime_col is not None else F.col("_metadata.file_modification_time")
     out = df.withColumn(FILE_NAME, fcol).withColumn(COMMITTED_ON, tcol.cast("timestamp"))
     loc = commit_file_location(F.col(FILE_NAME))
-    out = out.withColumn(PATH, normalize_location(loc) if normalize else loc)
+    out = out.withColumn(PATH, normalize_location(loc, encoded=True) if normalize else loc)
     out = out.withColumn(PATH_ID, path_identity(PATH))
     out = out.withColumn(COMMIT_VERSION, commit_file_version(F.col(FILE_NAME)))
     out = out.withColumn(UPDATED_ON, F.current_timestamp())
