@@ -10,7 +10,7 @@ from commitlens.plans import fixtures as fx
 from commitlens.schemas import MASTER_SCHEMA, PATH
 from commitlens.session import local_path
 from commitlens.sources.commit_log import read_commit_log, stream_commit_log
-from commitlens.sources.commit_writer import write_commit_files
+from commitlens.plans.commit_files import write_commit_files
 from commitlens.sources.discovery import discover_tables
 from commitlens.streaming.ingest import (
     UnrefinedStore, await_all, start_ingest_stream, trigger_for,
@@ -272,3 +272,15 @@ def test_missing_wildcard_directory_fails(spark, work):
                                  MASTER_SCHEMA)
     with pytest.raises(FileNotFoundError, match="no-such-dir"):
         expand_wildcards(rows)
+
+
+def test_commit_files_survive_small_batches(spark, work):
+    """No line is lost where an Arrow batch ends inside a commit."""
+    actions = fx.commit_actions(spark, SF).drop("ingest_seq")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        written = write_commit_files(actions, work).agg(F.sum("lines")).first()[0]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    on_disk = spark.read.text(work + ALL).count()
+    assert written == on_disk == actions.count()
