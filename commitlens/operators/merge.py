@@ -38,29 +38,17 @@ def prune_target(target: DataFrame, lo, hi, date_col: str = COMMIT_DATE) -> Data
     return target.where(F.col(date_col).between(F.lit(lo), F.lit(hi)))
 
 
-MAX_LITERAL_IDS = 10_000
-
-
-def batch_ids(batch: DataFrame, limit: int = MAX_LITERAL_IDS) -> list[str] | None:
-    """Distinct table ids of a batch if there are at most ``limit``
-    (bounded by the batch's file count in streaming), else None."""
-    ids = [r[0] for r in batch.select(PATH_ID).where(F.col(PATH_ID).isNotNull())
-           .distinct().limit(limit + 1).collect()]
-    return ids if len(ids) <= limit else None
-
-
-def batch_profile(batch: DataFrame, limit: int = MAX_LITERAL_IDS):
-    """(min date, max date, ids or None) of a batch in one job; ids is
-    None when the batch has more than ``limit`` distinct table ids."""
+def batch_bounds(batch: DataFrame):
+    """(min date, max date, (min table id, max table id)) of a batch: four
+    values from one partially aggregated job."""
     row = batch.agg(F.min(COMMIT_DATE).alias("lo"), F.max(COMMIT_DATE).alias("hi"),
-                    F.slice(F.collect_set(PATH_ID), 1, limit + 1).alias("ids")).first()
-    ids = row["ids"] if row["ids"] is not None and len(row["ids"]) <= limit else None
-    return row["lo"], row["hi"], ids
+                    F.min(PATH_ID).alias("first"), F.max(PATH_ID).alias("last")).first()
+    return row["lo"], row["hi"], (row["first"], row["last"])
 
 
 def insert_only_merge(batch: DataFrame, target: DataFrame, keys: list[str] = COMMIT_KEY,
-                      prune: bool = False, prune_ids: bool = False,
-                      ids: list[str] | None = None) -> DataFrame:
+                      prune: bool = False,
+                      id_bounds: tuple[str | None, str | None] | None = None) -> DataFrame:
     """Rows of ``batch`` whose commit key is absent from ``target``.
 
     All rows of a new commit are inserted (no dedup inside the batch);
@@ -68,20 +56,16 @@ def insert_only_merge(batch: DataFrame, target: DataFrame, keys: list[str] = COM
     rows to append; the merged table is ``target`` plus these.
 
     For a *stored* target: ``prune`` limits it to the batch's date range
-    (a partition filter), ``prune_ids`` adds the batch's table ids as a
-    literal IN list, which reaches Parquet as a row-group filter on files
-    sorted by id.  Each costs one small job over the batch, so use them
-    on a cached micro-batch; for targets computed in the same plan they
-    only add work.  ``ids`` passes a known id list (see ``batch_profile``).
+    (a partition filter; one small job over the batch), ``id_bounds`` (see
+    ``batch_bounds``) to its range of table ids, which reaches Parquet as
+    a row-group filter on files sorted by id.
     """
     tgt = target.select(*keys)
     if prune and COMMIT_DATE in keys:
         lo, hi = date_bounds(batch)
         tgt = prune_target(tgt, lo, hi)
-    if ids is None and prune_ids and PATH_ID in keys:
-        ids = batch_ids(batch)
-    if ids is not None and PATH_ID in keys:
-        tgt = tgt.where(F.col(PATH_ID).isin(ids))
+    if id_bounds is not None and PATH_ID in keys:
+        tgt = tgt.where(F.col(PATH_ID).between(F.lit(id_bounds[0]), F.lit(id_bounds[1])))
     cond = [batch[k] == tgt[k] for k in keys]
     return batch.join(tgt, on=cond, how="left_anti")
 

@@ -23,7 +23,7 @@ from commitlens.schemas import (
 )
 from commitlens.sources.discovery import table_paths
 from commitlens.sources.tables import RegistryStore
-from commitlens.streaming.ingest import await_all, start_ingest_streams
+from commitlens.streaming.ingest import Marks, await_all, start_ingest_streams
 from commitlens.streaming.progress import ProgressCollector
 from commitlens.streaming.refine_job import run_incremental_refine
 
@@ -98,6 +98,6 @@ def run_ingest(spark: SparkSession, registry: RegistryStore, target_root: str, c
     return queries
 
 
-def run_refine(spark: SparkSession, unrefined_root: str, refined_path: str, ledger_path: str) -> int:
-    """One increment of refinement; returns the new high-water mark."""
+def run_refine(spark: SparkSession, unrefined_root: str, refined_path: str, ledger_path: str) -> Marks:
+    """One increment of refinement; returns the new high-water marks."""
     return run_incremental_refine(spark, unrefined_root, refined_path, ledger_path)

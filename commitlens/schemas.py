@@ -114,11 +114,20 @@ UNREFINED_SCHEMA = T.StructType(
     + [T.StructField(n, t, True) for n, t in COMMIT_COLUMNS]
 )
 
-# Stored layout of unrefined: partition columns come last.
+# The fixture's stored form: unrefined rows with an ingest sequence.
 UNREFINED_STORED_SCHEMA = T.StructType(
     list(UNREFINED_SCHEMA.fields) + [T.StructField(INGEST_SEQ, T.LongType(), True)]
 )
 
+# Layout of the landed unrefined table: one folder per micro-batch, then the date.
+LANDING_COLUMNS = ["mode", "stream", "run", "batch"]
+LANDED_SCHEMA = T.StructType(
+    [f for f in UNREFINED_SCHEMA.fields if f.name != COMMIT_DATE]
+    + [T.StructField("mode", T.StringType()), T.StructField("stream", T.StringType()),
+       T.StructField("run", T.StringType()), T.StructField("batch", T.LongType()),
+       T.StructField(COMMIT_DATE, T.DateType())]
+)
+
 MASTER_SCHEMA = _s(
     (PATH, T.StringType()),
     (IGNORE, T.BooleanType()),
@@ -143,15 +152,6 @@ LEDGER_SCHEMA = _s(
     (UPDATED_ON, T.TimestampType()),
 )
 
-# Ingest ledger of the storage protocol: one row per landed micro-batch.
-INGEST_LEDGER_SCHEMA = _s(
-    ("stream", T.StringType()),
-    ("batch_id", T.LongType()),
-    (INGEST_SEQ, T.LongType()),
-    ("dates", T.ArrayType(T.DateType())),   # commit dates the batch wrote
-    (UPDATED_ON, T.TimestampType()),
-)
-
 CATALOG_INVENTORY_SCHEMA = _s(
     ("db", T.StringType()),
     ("table", T.StringType()),

@@ -23,15 +23,15 @@ def test_no_pairwise_joins(spark, name):
 def test_merge_target_is_pruned(spark, work):
     f1 = fx.commit_actions(spark, SF).drop("ingest_seq")
     store = UnrefinedStore(spark, work + "/u")
-    store.land(fx.split_target(f1), "s", 0)
+    store.land(fx.split_target(f1), "s", "r", 0)
     batch = fx.split_batch(f1).cache()
     lo = batch.agg(F.min("commitShortDate")).first()[0]
     hi = batch.agg(F.max("commitShortDate")).first()[0]
-    target = store.read_dates(lo, hi, store.max_seq())
+    target = store.merge_target(lo, hi)
     from commitlens.operators.merge import insert_only_merge
-    plan = physical(insert_only_merge(batch, target, ids=["x1", "x2"]))
+    plan = physical(insert_only_merge(batch, target, id_bounds=("x1", "x2")))
     assert "PartitionFilters: [" in plan and "commitShortDate" in plan
-    assert "In(deltaLocationIdentifier" in plan
+    assert "GreaterThanOrEqual(deltaLocationIdentifier,x1)" in plan
     scans = [line for line in plan.splitlines() if "ReadSchema" in line]
     target_scans = [s for s in scans if "struct<deltaLocationIdentifier:string,commitVersion:bigint>" in s]
     assert target_scans, scans

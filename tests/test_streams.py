@@ -117,9 +117,10 @@ def test_ingest_exactly_once_and_restart(spark, work):
     run()
     first = f5_actions(spark).where(F.col("committedOn") < F.lit(split)).count()
     assert store.read().count() == first
-    seqs = store.max_seq()
-    run()                                   # nothing new: no rows, no sequences
-    assert store.read().count() == first and store.max_seq() == seqs
+    marks = store.marks()
+    assert len(marks) == 2
+    run()                                   # nothing new: no rows, no batches
+    assert store.read().count() == first and store.marks() == marks
     write_f5(spark, work)                   # all commits (rewrites old files with equal content)
     run()
     total = f5_actions(spark).count()
@@ -128,20 +129,78 @@ def test_ingest_exactly_once_and_restart(spark, work):
     assert store.read().groupBy(*key).count().where("count > 3").count() == 0
 
 
-def test_crash_debris_and_ledger_hit(spark, work):
+def test_half_written_batches_and_replays(spark, work):
     root = work + "/unrefined"
     store = UnrefinedStore(spark, root)
     batch = read_commit_log(spark, []).limit(0)
-    f1 = fx.commit_actions(spark, SF).drop("ingest_seq").limit(50)
-    assert store.land(f1, "s", 0) == 1
-    # debris of a crashed attempt under the next sequence stays invisible
-    f1.limit(5).write.mode("overwrite").partitionBy("commitShortDate").parquet(f"{root}/data/ingest_seq=2")
-    assert store.read().count() == 50
-    # the next batch takes sequence 2 and replaces the debris as a whole
-    assert store.land(batch, "s", 1) == 2
-    assert store.read().count() == 50
-    # a batch already in the ledger is skipped
-    assert store.land(f1, "s", 0) is None and store.max_seq() == 2
+    f1 = fx.commit_actions(spark, SF).drop("ingest_seq").limit(50).cache()
+    assert store.read().count() == 0
+    assert store.land(f1, "s", "r", 0)
+    # what a crashed attempt left under the next batch stays invisible ...
+    debris = store.folder("merge", "s", "r", 1)
+    f1.limit(5).write.mode("overwrite").partitionBy("commitShortDate").parquet(debris)
+    os.remove(f"{local_path(debris)}/_SUCCESS")
+    assert store.read().count() == 50 and store.marks() == {("merge", "s", "r"): 0}
+    # ... and the replay replaces it as a whole
+    assert store.land(batch, "s", "r", 1)
+    assert store.read().count() == 50 and store.marks() == {("merge", "s", "r"): 1}
+    # a complete batch is not written again
+    assert not store.land(f1, "s", "r", 0) and store.read().count() == 50
+
+
+def test_fresh_checkpoint_loses_nothing(spark, work):
+    split = dt.datetime(2024, 1, 20)
+    root, ck = work + "/unrefined", work + "/ck"
+    store = UnrefinedStore(spark, root)
+    write_f5(spark, work, until=split)
+    await_all([start_ingest_stream(spark, work + ALL, "all", root, ck)])
+    before = store.read().count()
+    write_f5(spark, work)
+    await_all([start_ingest_stream(spark, work + ALL, "all", root, ck, checkpoint_suffix="_2")])
+    assert before < store.read().count() == f5_actions(spark).count()
+    await_all([start_ingest_stream(spark, work + ALL, "all", root, ck, checkpoint_suffix="_3")])
+    assert store.read().count() == f5_actions(spark).count()
+
+
+def test_two_jobs_inside_one_batch(spark, work):
+    """Two stores on one root, spelled differently, land at the same time:
+    neither sees the other, both write the shared commits, readers keep one."""
+    root = local_path(work) + "/unrefined"
+    one, two = UnrefinedStore(spark, root), UnrefinedStore(spark, "file:" + root)
+    f1 = fx.commit_actions(spark, SF).drop("ingest_seq").cache()
+    left, right = f1.where("commitVersion % 3 < 2"), f1.where("commitVersion % 3 > 0")
+
+    class Late(UnrefinedStore):
+        """Lands the other job's batch between its own target and its write."""
+
+        def _write(self, rows, folder):
+            two.land(right, "b", "r2", 0)
+            super()._write(rows, folder)
+
+    assert Late(spark, root).land(left, "a", "r1", 0)
+    assert one.marks() == {("merge", "a", "r1"): 0, ("merge", "b", "r2"): 0}
+    assert one._landed(one.marks()).count() > f1.count()
+    cols = ["file_name", "deltaLocationIdentifier", "commitShortDate", "commitVersion",
+            F.to_json(F.struct("commitInfo", "add", "remove")).alias("j")]
+    got = one.read().select(*cols)
+    assert got.exceptAll(f1.select(*cols)).count() == 0 and f1.select(*cols).exceptAll(got).count() == 0
+    # the change feed names a commit once as well, whichever run's mark it follows
+    assert one.read_since({}).count() == f1.count()
+    assert one.read_since({("merge", "a", "r1"): 0}).count() == right.count()
+
+
+def test_append_mode_lands_where_refine_reads(spark, work):
+    acts = write_f5(spark, work)
+    root, refined, ledger = work + "/unrefined", work + "/refined", work + "/processed"
+    for suffix in ("", "_2"):                # append does not look for earlier rows
+        await_all([start_ingest_stream(spark, work + ALL, "all", root, work, checkpoint_suffix=suffix,
+                                       append_mode=True)])
+    assert UnrefinedStore(spark, root).read().count() == 2 * acts.count()
+    await_all([start_ingest_stream(spark, work + ALL, "all", root, work, checkpoint_suffix="_3")])
+    assert UnrefinedStore(spark, root).read().count() == 2 * acts.count()
+    assert len(run_incremental_refine(spark, root, refined, ledger)) == 3
+    assert read_refined(spark, refined).select("deltaLocation", "commitVersion").distinct().count() == \
+        acts.where(F.col("commitInfo").isNotNull()).count()
 
 
 def test_refine_job(spark, work):
@@ -150,12 +209,12 @@ def test_refine_job(spark, work):
     await_all([start_ingest_stream(spark, work + ALL, "all", root, ck, max_files_per_trigger=11)])
     refined, ledger = work + "/refined", work + "/processed"
     mark = run_incremental_refine(spark, root, refined, ledger)
-    assert mark == UnrefinedStore(spark, root).max_seq()
+    assert mark == UnrefinedStore(spark, root).marks()
     n = read_refined(spark, refined).count()
     assert n == f5_actions(spark).where(F.col("commitInfo").isNotNull()).count()
     assert run_incremental_refine(spark, root, refined, ledger) == mark
     assert read_refined(spark, refined).count() == n
-    assert ProcessedLedger(spark, ledger).mark("unrefined_metrics") == mark
+    assert ProcessedLedger(spark, ledger).marks("unrefined_metrics") == mark
 
 
 def test_trigger_for():
@@ -192,8 +251,8 @@ def test_null_date_rows_reach_the_change_feed(spark, work):
     f1 = fx.commit_actions(spark, SF).drop("ingest_seq").limit(20)
     nulls = f1.limit(3).withColumn("commitShortDate", F.lit(None).cast("date")) \
         .withColumn("commitVersion", F.col("commitVersion") + 100000)
-    assert store.land(f1.unionByName(nulls), "s", 0) == 1
-    assert store.read_since(0).count() == 23
+    assert store.land(f1.unionByName(nulls), "s", "r", 0)
+    assert store.read_since({}).count() == 23
     assert store.read().count() == 23
 
 
@@ -207,7 +266,7 @@ def test_refine_two_increments_equal_one(spark, work):
     write_f5(spark, work)
     await_all([start_ingest_stream(spark, work + ALL, "all", root, ck, max_files_per_trigger=13)])
     m2 = run_incremental_refine(spark, root, refined, ledger)
-    assert m2 > m1
+    assert m2.keys() == m1.keys() and max(m2.values()) > max(m1.values())
     got = read_refined(spark, refined).select("deltaLocationIdentifier", "commitVersion")
     assert got.count() == got.distinct().count()
     want = f5_actions(spark).where(F.col("commitInfo").isNotNull()).count()
