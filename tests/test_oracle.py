@@ -22,16 +22,22 @@ def duck():
 
 
 def _names():
-    from __spark_entry__ import queries
-    return sorted(queries())
+    from __spark_entry__ import oracle_sql
+    return sorted(oracle_sql())
+
+
+def test_every_commit_log_query_has_oracle_sql():
+    from __spark_entry__ import oracle_sql
+    from commitlens.plans.queries import QUERIES
+    from commitlens.plans.stream_queries import STREAM_QUERIES
+    assert not {*QUERIES, *STREAM_QUERIES} - set(oracle_sql())
 
 
 @pytest.mark.parametrize("name", _names())
 def test_query_matches_oracle(spark, duck, name):
     from __spark_entry__ import oracle_sql, queries
 
-    sql = oracle_sql().get(name)
-    assert sql is not None, f"{name} has no oracle SQL"
+    sql = oracle_sql()[name]
     df = queries()[name](spark, SF)
     cols = sorted(df.columns)
     srows = [tuple(r[c] for c in cols) for r in df.collect()]
