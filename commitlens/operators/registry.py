@@ -162,20 +162,23 @@ def inventory_from_catalog(spark, databases: list[str] | None = None) -> DataFra
 
 def resolve_locations(entries: DataFrame, inventory: DataFrame, provider: str = "delta",
                       raise_unresolved: bool = True,
-                      table_paths: DataFrame | None = None) -> DataFrame:
+                      table_paths: DataFrame | None = None,
+                      current_db: str | None = None) -> DataFrame:
     """Each config entry becomes (fullTableName?, deltaLocation).
 
     Precedence: (a) an entry without ``/`` and ``.`` that names a
     database stands for every table of it; (b) an entry equal to a
     table's location is that path (no name); (c) an entry equal to a
-    ``db.table`` name is that table.  Entries resolved by none raise.
+    ``db.table`` name is that table, and one equal to a table of
+    ``current_db`` is that table too.  Databases and names match in any
+    case, as catalogs do.  Entries resolved by none raise.
     Other columns of ``entries`` (e.g. ``extraConfig``) are carried.
     ``table_paths`` (column ``location``) adds table paths that are not
     in the catalog (see ``discovery.table_paths``).
     """
     carry = [c for c in entries.columns if c != "entry"]
     tables = inventory.where(F.lower("provider") == provider)
-    dbs = inventory.select(F.col("db").alias("_db")).distinct()
+    dbs = inventory.select(F.lower("db").alias("_db")).distinct()
     locs = tables.select(F.col("location").alias("_loc"))
     if table_paths is not None:   # path tables found on storage, outside the catalog
         locs = locs.unionByName(table_paths.select(F.col("location").alias("_loc")))
@@ -183,8 +186,12 @@ def resolve_locations(entries: DataFrame, inventory: DataFrame, provider: str =
     names = tables.select(F.lower(F.concat_ws(".", "db", "table")).alias("_lname"),
                           F.col("location").alias("_name_loc"))
 
+    if current_db is not None:
+        here = tables.where(F.lower("db") == current_db.lower())
+        names = names.unionByName(here.select(F.lower("table").alias("_lname"), F.col("location").alias("_name_loc")))
+
     # classify every entry once: one left join per kind, precedence by CASE
-    e = (entries.join(dbs, entries["entry"] == dbs["_db"], "left")
+    e = (entries.join(dbs, F.lower(entries["entry"]) == dbs["_db"], "left")
          .join(locs, F.col("entry") == F.col("_loc"), "left")
          .join(names, F.lower(F.col("entry")) == F.col("_lname"), "left"))
     is_db_name = ~F.col("entry").contains("/") & ~F.col("entry").contains(".") & F.col("_db").isNotNull()
@@ -199,9 +206,9 @@ def resolve_locations(entries: DataFrame, inventory: DataFrame, provider: str =
     per_db = tables.select(F.col("db").alias("_tdb"), F.col("table").alias("_tbl"),
                            F.col("location").alias("_tloc"))
     x = e.where(F.col("_kind").isNotNull()).join(
-        per_db, (F.col("_kind") == "db") & (F.col("entry") == F.col("_tdb")), "left")
+        per_db, (F.col("_kind") == "db") & (F.col("_db") == F.lower("_tdb")), "left")
     x = x.where((F.col("_kind") != "db") | F.col("_tbl").isNotNull())
-    name = (F.when(F.col("_kind") == "db", F.concat_ws(".", "entry", "_tbl"))
+    name = (F.when(F.col("_kind") == "db", F.concat_ws(".", "_tdb", "_tbl"))
             .when(F.col("_kind") == "name", F.col("entry")))
     loc = (F.when(F.col("_kind") == "db", F.col("_tloc"))
            .when(F.col("_kind") == "path", F.col("entry"))

@@ -19,7 +19,7 @@ from commitlens.operators.registry import (
     registry_rows, resolve_locations, stream_slice,
 )
 from commitlens.schemas import (
-    CATALOG_INVENTORY_SCHEMA, EXTRA_CONFIG, FULL_TABLE_NAME, PATH, WILDCARD_LEVEL,
+    EXTRA_CONFIG, FULL_TABLE_NAME, PATH, WILDCARD_LEVEL,
 )
 from commitlens.sources.discovery import table_paths
 from commitlens.sources.tables import RegistryStore
@@ -31,11 +31,13 @@ CATALOG_LEVEL = "1"   # tables taken from the catalog are watched at level 1
 
 
 def resolve_config(spark: SparkSession, rows: DataFrame, inventory: DataFrame | None = None) -> DataFrame:
-    """S6 for config rows: databases and names through the catalog
-    inventory, paths by the presence of a commit log on storage."""
-    inv = inventory if inventory is not None else spark.createDataFrame([], CATALOG_INVENTORY_SCHEMA)
+    """S6 for config rows: databases and names through the inventory (by
+    default that of the session catalog), paths by the presence of a
+    commit log on storage."""
+    inv = inventory if inventory is not None else inventory_from_catalog(spark)
     entries = rows.select(F.col(PATH).alias("entry"), EXTRA_CONFIG)
-    found = resolve_locations(entries, inv, table_paths=table_paths(rows))
+    found = resolve_locations(entries, inv, table_paths=table_paths(rows),
+                              current_db=spark.catalog.currentDatabase())
     return found.select(FULL_TABLE_NAME, PATH, EXTRA_CONFIG)
 
 

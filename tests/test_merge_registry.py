@@ -92,6 +92,10 @@ def test_resolve_locations(spark):
     assert got == [("/wh/sales/orders", None, "/wh/sales/orders"),
                    ("Sales.Orders", "Sales.Orders", "/wh/sales/orders"),
                    ("sales", "sales.orders", "/wh/sales/orders")]
+    mixed = spark.createDataFrame([("SALES",), ("Orders",)], "entry string")
+    got = sorted((r.entry, r.fullTableName, r.deltaLocation)
+                 for r in registry.resolve_locations(mixed, inv, current_db="Sales").collect())
+    assert got == [("Orders", "Orders", "/wh/sales/orders"), ("SALES", "sales.orders", "/wh/sales/orders")]
     bad = spark.createDataFrame([("sales.raw",), ("/nope",)], "entry string")
     with pytest.raises(registry.ConfigError, match="sales.raw"):
         registry.resolve_locations(bad, inv)
