@@ -12,14 +12,15 @@ tokens.  Templates are, per leaf,
   constant.
 
 A template recurs if it stands in ``min_docs`` unrelated documents.
-Documents that are copies of each other count once: documents are told
-apart by their longest line, and a template whose documents have fewer
-than half as many different longest lines belongs to copied documents,
-which are for document-level deduplication.  All lines that follow a
-recurring template are dropped.
+Documents are told apart by their longest line that is not of the tested
+template, so that copies of a document count once, however many there are,
+and a passage that is the longest line of all its documents is counted as
+any other.  A document that has no other line has no such mark: all of
+them together count once.
 
-Every count is an aggregation with map-side combine over (template,
-longest line), so a template in a third of all documents is no hot group.
+Every count is an aggregation with map-side combine, first over (template,
+document) and then over (template, mark), so a template in a third of all
+documents is no hot group.
 
 Defined cases: a null or empty text has one blank line and stays as it is
 (null: empty text); blank lines are kept and never counted; a document
@@ -58,31 +59,35 @@ def _keyed(df: DataFrame) -> DataFrame:
     return df.select(F.xxhash64("doc_id", text).alias("_key"), F.split(text, "\n").alias("_lines"))
 
 
+def _longest(templates: Column) -> Column:
+    return F.array_max(F.transform(templates, lambda t: F.struct(F.length(t).alias("n"), t.alias("t"))))["t"]
+
+
 def line_table(df: DataFrame) -> DataFrame:
     """One row per line that is not blank: key, anchor (hash of the
-    document's longest line), pos, leaf, template and token count."""
-    docs = _keyed(df).withColumn("_anchor", F.xxhash64(F.array_max(F.transform(
-        "_lines", lambda x: F.struct(F.length(x).alias("n"), x.alias("line"))))["line"]))
-    lines = docs.select("_key", "_anchor", F.posexplode("_lines").alias("pos", "line"))
-    lines = lines.select("_key", "_anchor", "pos", masked(F.col("line")).alias("t")).filter("t <> ''")
+    document's longest other template), pos, leaf, template and token count."""
+    docs = _keyed(df).select("_key", F.transform("_lines", masked).alias("_ts")).withColumn("_one", _longest(F.col("_ts")))
+    docs = docs.withColumn("_two", _longest(F.filter("_ts", lambda t: (t != F.col("_one")) & (t != ""))))
+    lines = docs.select("_key", F.xxhash64("_one").alias("_one"), F.xxhash64("_two").alias("_two"),
+                        F.posexplode("_ts").alias("pos", "t")).filter("t <> ''")
     n = _n_tokens(F.col("t"))
-    return lines.select("_key", "_anchor", "pos", n.alias("n_tok"), F.xxhash64("t").alias("template"),
-                        F.xxhash64(n, F.substring_index("t", " ", LEAD)).alias("leaf"))
+    template = F.xxhash64("t")
+    return lines.select("_key", F.when(template == F.col("_one"), F.col("_two")).otherwise(F.col("_one")).alias("_anchor"), "pos",
+                        n.alias("n_tok"), template.alias("template"), F.xxhash64(n, F.substring_index("t", " ", LEAD)).alias("leaf"))
 
 
-def recurring(lines: DataFrame, key: str, min_docs: int, unrelated: bool = True) -> DataFrame:
+def recurring(lines: DataFrame, key: str, min_docs: int) -> DataFrame:
     """Values of ``key`` that stand in ``min_docs`` unrelated documents."""
-    per_doc = lines.groupBy(key, "_anchor", "_key").agg(F.lit(1).alias("_d"))
-    per_anchor = per_doc.groupBy(key, "_anchor").agg(F.count("_d").alias("_d"))
-    seen = per_anchor.groupBy(key).agg(F.count("_anchor").alias("anchors"), F.sum("_d").alias("docs"))
-    return seen.filter((F.col("anchors") >= min_docs) & (F.col("anchors") * 2 >= F.col("docs") if unrelated else F.lit(True))
-                       ).select(key)
+    per_doc = lines.groupBy(key, "_key").agg(F.min("_anchor").alias("_anchor"))
+    per_anchor = per_doc.groupBy(key, "_anchor").agg(F.lit(1).alias("_d"))
+    seen = per_anchor.groupBy(key).agg(F.count("_d").alias("anchors"))
+    return seen.filter(F.col("anchors") >= min_docs).select(key)
 
 
 def general_lines(df: DataFrame, lines: DataFrame, exact: DataFrame, min_docs: int) -> DataFrame:
     """Lines (``_key, pos``) that follow a recurring generalised template."""
     rest = lines.filter(F.col("n_tok") >= MIN_GENERAL).join(exact, "template", "left_anti")
-    leaves = recurring(rest, "leaf", min_docs, unrelated=False)
+    leaves = recurring(rest, "leaf", min_docs)
     open_lines = stored(rest.join(leaves, "leaf", "left_semi").select("_key", "_anchor", "pos", "leaf"), "open_lines")
     wanted = open_lines.groupBy("_key").agg(F.collect_set("pos").alias("_wanted"))
     texts = _keyed(df).dropDuplicates(["_key"]).join(wanted, "_key")

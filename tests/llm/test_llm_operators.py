@@ -238,6 +238,24 @@ def test_line_dedup_drops_templates_and_keeps_copies(spark, edge, empty):
     assert line_dedup.dedup_documents(empty).count() == 0
 
 
+def own_lines(d, n=3):
+    """Lines of words that no other document has."""
+    return [" ".join(f"{chr(97 + d % 26)}{chr(97 + d // 26)}{chr(97 + k)}{chr(97 + j)}" for j in range(9)) for k in range(n)]
+
+
+def test_line_dedup_drops_a_passage_that_is_the_longest_line(spark):
+    passage = " ".join(f"p{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(120))
+    alone = passage.replace("p", "q")
+    rows = [(d, "\n".join([*own_lines(d), passage])) for d in range(12)]
+    rows += [(100 + d, "\n".join([*own_lines(0), passage])) for d in range(40)]
+    rows += [(200 + d, alone) for d in range(12)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in line_dedup.dedup_documents(df).collect()}
+    assert all(got[d]["text"] == "\n".join(own_lines(d)) for d in range(12))
+    assert all(got[100 + d]["text"] == "\n".join(own_lines(0)) for d in range(40))
+    assert all(got[200 + d]["text"] == alone for d in range(12))
+
+
 def test_sharding(spark, edge, empty):
     for n in (1, 2, 3, 17, 1000):
         x = np.arange(n)
