@@ -11,11 +11,13 @@ tokens.  Templates are, per leaf,
   agrees at every constant; at least ``CONSTANT`` of the positions must be
   constant.
 
-A template recurs if it stands in ``min_docs`` unrelated documents.
-Documents are told apart by their longest line that is not of the tested
-template, so that copies of a document count once, however many there are,
-and a passage that is the longest line of all its documents is counted as
-any other.  A document that has no other line has no such mark: all of
+A template recurs if it stands in ``min_docs`` unrelated documents, or,
+from ``LONG`` tokens on, which do not recur by chance, in ``LONG_DOCS``.
+Documents are told apart by the two longest words of their longest line
+that is not of the tested template, so that copies of a document count
+once, however many there are and mostly also if they are edited, and a
+passage that is the longest line of all its documents is counted as any
+other.  A document that has no other line has no such mark: all of
 them together count once.
 
 Every count is an aggregation with map-side combine, first over (template,
@@ -41,6 +43,8 @@ LEAD = 3
 MIN_GENERAL = 6
 CONSTANT = 0.6
 MIN_DOCS = 8
+#: Two documents that share a long line are mostly one and its edited copy.
+LONG, LONG_DOCS = 50, 3
 
 
 def masked(line: Column) -> Column:
@@ -63,32 +67,40 @@ def _longest(templates: Column) -> Column:
     return F.array_max(F.transform(templates, lambda t: F.struct(F.length(t).alias("n"), t.alias("t"))))["t"]
 
 
+def _mark(line: Column) -> Column:
+    """Hash of the two longest words."""
+    words = F.transform(F.split(line, " "), lambda w: F.struct(F.length(w).alias("n"), w.alias("w")))
+    return F.xxhash64(F.slice(F.sort_array(F.array_distinct(words), asc=False), 1, 2))
+
+
 def line_table(df: DataFrame) -> DataFrame:
-    """One row per line that is not blank: key, anchor (hash of the
+    """One row per line that is not blank: key, anchor (mark of the
     document's longest other template), pos, leaf, template and token count."""
     docs = _keyed(df).select("_key", F.transform("_lines", masked).alias("_ts")).withColumn("_one", _longest(F.col("_ts")))
     docs = docs.withColumn("_two", _longest(F.filter("_ts", lambda t: (t != F.col("_one")) & (t != ""))))
-    lines = docs.select("_key", F.xxhash64("_one").alias("_one"), F.xxhash64("_two").alias("_two"),
-                        F.posexplode("_ts").alias("pos", "t")).filter("t <> ''")
+    # marks once per document: beside the generator they would be made for every line
+    docs = docs.select("_key", "_ts", F.xxhash64("_one").alias("_longest"), _mark(F.col("_one")).alias("_one"), _mark(F.col("_two")).alias("_two"))
+    lines = docs.select("_key", "_longest", "_one", "_two", F.posexplode("_ts").alias("pos", "t")).filter("t <> ''")
     n = _n_tokens(F.col("t"))
     template = F.xxhash64("t")
-    return lines.select("_key", F.when(template == F.col("_one"), F.col("_two")).otherwise(F.col("_one")).alias("_anchor"), "pos",
+    return lines.select("_key", F.when(template == F.col("_longest"), F.col("_two")).otherwise(F.col("_one")).alias("_anchor"), "pos",
                         n.alias("n_tok"), template.alias("template"), F.xxhash64(n, F.substring_index("t", " ", LEAD)).alias("leaf"))
 
 
 def recurring(lines: DataFrame, key: str, min_docs: int) -> DataFrame:
-    """Values of ``key`` that stand in ``min_docs`` unrelated documents."""
-    per_doc = lines.groupBy(key, "_key").agg(F.min("_anchor").alias("_anchor"))
-    per_anchor = per_doc.groupBy(key, "_anchor").agg(F.lit(1).alias("_d"))
-    seen = per_anchor.groupBy(key).agg(F.count("_d").alias("anchors"))
-    return seen.filter(F.col("anchors") >= min_docs).select(key)
+    """Values of ``key`` that stand in ``min_docs`` unrelated documents,
+    or in ``LONG_DOCS`` if they are long."""
+    per_doc = lines.groupBy(key, "_key").agg(F.min("_anchor").alias("_anchor"), F.max("n_tok").alias("n_tok"))
+    per_anchor = per_doc.groupBy(key, "_anchor").agg(F.max("n_tok").alias("n_tok"))
+    seen = per_anchor.groupBy(key).agg(F.count("n_tok").alias("anchors"), F.max("n_tok").alias("n_tok"))
+    return seen.filter(F.col("anchors") >= F.when(F.col("n_tok") >= LONG, min(min_docs, LONG_DOCS)).otherwise(min_docs)).select(key)
 
 
 def general_lines(df: DataFrame, lines: DataFrame, exact: DataFrame, min_docs: int) -> DataFrame:
     """Lines (``_key, pos``) that follow a recurring generalised template."""
     rest = lines.filter(F.col("n_tok") >= MIN_GENERAL).join(exact, "template", "left_anti")
     leaves = recurring(rest, "leaf", min_docs)
-    open_lines = stored(rest.join(leaves, "leaf", "left_semi").select("_key", "_anchor", "pos", "leaf"), "open_lines")
+    open_lines = stored(rest.join(leaves, "leaf", "left_semi").select("_key", "_anchor", "pos", "n_tok", "leaf"), "open_lines")
     wanted = open_lines.groupBy("_key").agg(F.collect_set("pos").alias("_wanted"))
     texts = _keyed(df).dropDuplicates(["_key"]).join(wanted, "_key")
     tokens = texts.select("_key", F.explode(F.transform("_wanted", lambda p: F.struct(
@@ -102,7 +114,7 @@ def general_lines(df: DataFrame, lines: DataFrame, exact: DataFrame, min_docs: i
                     lambda v: v["tok"]).alias("form"))
     form = form.filter(F.size(F.filter("form", lambda v: v.isNotNull())) >= CONSTANT * F.size("form"))
     follow = tokens.join(form, "leaf").filter(F.forall(
-        F.zip_with("toks", "form", lambda a, b: b.isNull() | (a == b)), lambda v: v)).select("_key", "_anchor", "pos", "leaf")
+        F.zip_with("toks", "form", lambda a, b: b.isNull() | (a == b)), lambda v: v)).select("_key", "_anchor", "pos", "n_tok", "leaf")
     return follow.join(recurring(follow, "leaf", min_docs), "leaf", "left_semi").select("_key", "pos")
 
 

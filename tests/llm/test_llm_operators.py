@@ -256,6 +256,16 @@ def test_line_dedup_drops_a_passage_that_is_the_longest_line(spark):
     assert all(got[200 + d]["text"] == alone for d in range(12))
 
 
+def test_line_dedup_drops_long_passages_of_few_documents(spark):
+    passage = [" ".join(f"{x}{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(n)) for x, n in (("p", 55), ("q", 200), ("r", 49))]
+    rows = [(d, "\n".join([*own_lines(d), passage[d // 3]])) for d in range(9)]
+    rows += [(100 + d, "\n".join([*own_lines(20, 9), passage[0].replace("p", "s")])) for d in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["_n_dropped"] for r in line_dedup.dedup_documents(df).collect()}
+    assert [got[d] for d in range(9)] == [1] * 6 + [0] * 3
+    assert all(got[100 + d] == 0 for d in range(5))
+
+
 def test_sharding(spark, edge, empty):
     for n in (1, 2, 3, 17, 1000):
         x = np.arange(n)
