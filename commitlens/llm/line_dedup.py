@@ -9,15 +9,17 @@ tokens.  Templates are, per leaf,
   a position is constant if one token holds ``CONSTANT`` of the leaf's
   lines there and a variable field otherwise, and a line follows it if it
   agrees at every constant; at least ``CONSTANT`` of the positions must be
-  constant.
+  constant.  Lines that follow no recurring one are dealt to new leaves by
+  their token at the variable position where the leaf's lines agree most,
+  ``SPLITS`` times, so that several templates of one leaf, or one among
+  ordinary lines, come apart.
 
 A template recurs if it stands in ``min_docs`` unrelated documents, or,
 from ``LONG`` tokens on, which do not recur by chance, in ``LONG_DOCS``.
-Documents are told apart by the two longest words of their longest line
-that is not of the tested template, so that copies of a document count
-once, however many there are and mostly also if they are edited, and a
-passage that is the longest line of all its documents is counted as any
-other.  A document that has no other line has no such mark: all of
+Documents are told apart by their longest line that is not of the tested
+template, so that copies of a document count once, however many there are,
+and a passage that is the longest line of all its documents is counted as
+any other.  A document that has no other line has no such mark: all of
 them together count once.
 
 Every count is an aggregation with map-side combine, first over (template,
@@ -34,6 +36,8 @@ begin with an underscore.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +46,8 @@ from commitlens.llm.common import stored, table
 LEAD = 3
 MIN_GENERAL = 6
 CONSTANT = 0.6
+#: Levels of the tree below the leading tokens.
+SPLITS = 3
 MIN_DOCS = 8
 #: Two documents that share a long line are mostly one and its edited copy.
 LONG, LONG_DOCS = 50, 3
@@ -67,23 +73,17 @@ def _longest(templates: Column) -> Column:
     return F.array_max(F.transform(templates, lambda t: F.struct(F.length(t).alias("n"), t.alias("t"))))["t"]
 
 
-def _mark(line: Column) -> Column:
-    """Hash of the two longest words."""
-    words = F.transform(F.split(line, " "), lambda w: F.struct(F.length(w).alias("n"), w.alias("w")))
-    return F.xxhash64(F.slice(F.sort_array(F.array_distinct(words), asc=False), 1, 2))
-
-
 def line_table(df: DataFrame) -> DataFrame:
-    """One row per line that is not blank: key, anchor (mark of the
+    """One row per line that is not blank: key, anchor (hash of the
     document's longest other template), pos, leaf, template and token count."""
     docs = _keyed(df).select("_key", F.transform("_lines", masked).alias("_ts")).withColumn("_one", _longest(F.col("_ts")))
     docs = docs.withColumn("_two", _longest(F.filter("_ts", lambda t: (t != F.col("_one")) & (t != ""))))
-    # marks once per document: beside the generator they would be made for every line
-    docs = docs.select("_key", "_ts", F.xxhash64("_one").alias("_longest"), _mark(F.col("_one")).alias("_one"), _mark(F.col("_two")).alias("_two"))
-    lines = docs.select("_key", "_longest", "_one", "_two", F.posexplode("_ts").alias("pos", "t")).filter("t <> ''")
+    # hashed before the generator: beside it they would be made for every line
+    docs = docs.select("_key", "_ts", F.xxhash64("_one").alias("_one"), F.xxhash64("_two").alias("_two"))
+    lines = docs.select("_key", "_one", "_two", F.posexplode("_ts").alias("pos", "t")).filter("t <> ''")
     n = _n_tokens(F.col("t"))
     template = F.xxhash64("t")
-    return lines.select("_key", F.when(template == F.col("_longest"), F.col("_two")).otherwise(F.col("_one")).alias("_anchor"), "pos",
+    return lines.select("_key", F.when(template == F.col("_one"), F.col("_two")).otherwise(F.col("_one")).alias("_anchor"), "pos",
                         n.alias("n_tok"), template.alias("template"), F.xxhash64(n, F.substring_index("t", " ", LEAD)).alias("leaf"))
 
 
@@ -107,15 +107,27 @@ def general_lines(df: DataFrame, lines: DataFrame, exact: DataFrame, min_docs: i
         p.alias("pos"), F.transform(F.split(masked(F.element_at("_lines", p + 1)), " "), lambda w: F.xxhash64(w)).alias("toks")))).alias("x"))
     tokens = tokens.select("_key", "x.pos", "x.toks").join(open_lines, ["_key", "pos"])
     tokens = stored(tokens, "open_tokens")
-    votes = tokens.select("leaf", F.posexplode("toks").alias("at", "tok")).groupBy("leaf", "at", "tok").agg(F.count(F.lit(1)).alias("n"))
-    votes = votes.groupBy("leaf", "at").agg(F.max_by("tok", "n").alias("tok"), F.max("n").alias("n"), F.sum("n").alias("all"))
-    form = votes.groupBy("leaf").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("at", F.when(F.col("n") >= CONSTANT * F.col("all"), F.col("tok")).alias("tok")))),
-                    lambda v: v["tok"]).alias("form"))
-    form = form.filter(F.size(F.filter("form", lambda v: v.isNotNull())) >= CONSTANT * F.size("form"))
-    follow = tokens.join(form, "leaf").filter(F.forall(
-        F.zip_with("toks", "form", lambda a, b: b.isNull() | (a == b)), lambda v: v)).select("_key", "_anchor", "pos", "n_tok", "leaf")
-    return follow.join(recurring(follow, "leaf", min_docs), "leaf", "left_semi").select("_key", "pos")
+    found = []
+    for turn in range(SPLITS + 1):
+        votes = stored(tokens.select("leaf", F.posexplode("toks").alias("at", "tok")).groupBy("leaf", "at", "tok").agg(
+            F.count(F.lit(1)).alias("n")).groupBy("leaf", "at").agg(
+            F.max_by("tok", "n").alias("tok"), F.max("n").alias("n"), F.sum("n").alias("all"),
+            F.sum(F.col("n").cast("double") * F.col("n")).alias("same")), "votes")
+        constant = F.col("n") >= CONSTANT * F.col("all")
+        form = votes.groupBy("leaf").agg(
+            F.transform(F.array_sort(F.collect_list(F.struct("at", F.when(constant, F.col("tok")).alias("tok")))),
+                        lambda v: v["tok"]).alias("form"))
+        form = form.filter(F.size(F.filter("form", lambda v: v.isNotNull())) >= CONSTANT * F.size("form"))
+        follow = tokens.join(form, "leaf").filter(F.forall(
+            F.zip_with("toks", "form", lambda a, b: b.isNull() | (a == b)), lambda v: v)).select("_key", "_anchor", "pos", "n_tok", "leaf")
+        hit = stored(follow.join(recurring(follow, "leaf", min_docs), "leaf", "left_semi").select("_key", "pos"), "followers")
+        found.append(hit)
+        if turn < SPLITS:
+            split = votes.filter(~constant).groupBy("leaf").agg(F.max_by("at", F.struct("same", -F.col("at"))).alias("at"))
+            rest = tokens.join(hit, ["_key", "pos"], "left_anti").join(split, "leaf")
+            rest = rest.withColumn("leaf", F.xxhash64("leaf", "at", F.element_at("toks", F.col("at") + 1))).drop("at")
+            tokens = stored(rest.join(recurring(rest, "leaf", min_docs), "leaf", "left_semi"), "open_tokens")
+    return reduce(DataFrame.unionByName, found)
 
 
 def dropped_lines(df: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:

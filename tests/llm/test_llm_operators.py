@@ -266,6 +266,16 @@ def test_line_dedup_drops_long_passages_of_few_documents(spark):
     assert all(got[100 + d] == 0 for d in range(5))
 
 
+def test_line_dedup_drops_several_templates_of_one_leaf(spark):
+    name = [f"{chr(97 + d % 26)}{chr(97 + d // 26)}" for d in range(60)]
+    lines = [f"you can read {n}x more about this on page" if d % 3 == 0 else f"you can read {n}y offers from all the shops" if d % 3 == 1
+             else f"you can read {n}p {n}q {n}r {n}s {n}t {n}u" for d, n in enumerate(name)]
+    rows = [(d, "\n".join([*own_lines(d), lines[d]])) for d in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["_n_dropped"] for r in line_dedup.dedup_documents(df).collect()}
+    assert [got[d] for d in range(60)] == [1, 1, 0] * 20
+
+
 def test_sharding(spark, edge, empty):
     for n in (1, 2, 3, 17, 1000):
         x = np.arange(n)
