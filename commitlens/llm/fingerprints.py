@@ -2,9 +2,9 @@
 
 1. Document frequency of every term (one aggregation, combined on the map
    side); the lexicon keeps the terms of a chosen inverse-document-frequency
-   band.  Its size has a proven bound: terms in at least ``t`` documents
-   are at most (sum of all document frequencies) / t, and the band's rare
-   end is raised to the ``t`` at which that is ``max_lexicon``.
+   band, all of them.  Terms in at least ``min_share * n`` documents are at
+   most (mean number of distinct terms of a document) / ``min_share``, which
+   does not grow with the number of documents.
 2. A text's distinct terms inside the lexicon are sorted, and every one of
    ``SUBSETS`` randomised lexicon subsets -- those terms whose hash has
    certain bits, at rates of 1/2 to 1/256 so that short and long texts both
@@ -32,8 +32,7 @@ from pyspark.sql import functions as F
 from commitlens.llm.common import partitions, stored, table
 
 TERM_CUT = r"[^\p{L}\p{N}]+"
-MAX_LEXICON = 1 << 15
-CELLS = 1 << 11
+CELLS = 1 << 13
 #: (rate bits, first bit, subsets): subset ``j`` of a row holds the lexicon
 #: terms whose hash has the value ``j`` in those bits, 2 ** -rate of them.
 RATES = [(1, 0, 2), (1, 1, 2), (4, 2, 16), (6, 6, 20), (8, 12, 20)]
@@ -46,14 +45,13 @@ def term_hashes(text: Column) -> Column:
     return F.array_distinct(F.transform(words, lambda w: F.xxhash64(w)))
 
 
-def lexicon(terms: DataFrame, min_share: float, max_share: float, max_lexicon: int) -> DataFrame:
+def lexicon(terms: DataFrame, min_share: float, max_share: float) -> DataFrame:
     """One row: the band's term hashes in ``CELLS`` short lists (column
     ``cells``).  ``terms`` has one row per document, column ``terms``."""
     spark = terms.sparkSession
     df = stored(terms.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("df")), "terms")
     n = terms.count()
-    total = df.agg(F.sum("df")).first()[0] or 0
-    low = max(2, math.ceil(min_share * n), math.ceil(total / max_lexicon))
+    low = max(2, math.ceil(min_share * n))
     high = max(low, math.floor(max_share * n))
     band = df.filter(F.col("df").between(low, high)).groupBy(F.pmod("t", F.lit(CELLS)).alias("cell")).agg(
         F.collect_list("t").alias("ts"))
@@ -73,13 +71,13 @@ def subset_hashes(kept: Column) -> Column:
     def one(s: Column) -> Column:
         inside = F.filter(kept, lambda t: t.bitwiseAND(s["m"]) == s["v"])
         return F.when(F.size(inside) == 0, F.lit(0).cast("long")).otherwise(
-            F.pmod(F.xxhash64(inside), F.lit(0xFFFF)) + 1)
+            F.pmod(F.xxhash64(inside), F.lit(0xFFFFFFFF)) + 1)
 
     return F.transform(masks, one)
 
 
 def hex_print(fp: Column) -> Column:
-    return F.array_join(F.transform(fp, lambda h: F.lpad(F.lower(F.hex(h)), 4, "0")), "")
+    return F.array_join(F.transform(fp, lambda h: F.lpad(F.lower(F.hex(h)), 8, "0")), "")
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -90,7 +88,7 @@ def likeness(a: Column, b: Column) -> Column:
 
 def with_fingerprint(df: DataFrame, cells: DataFrame, text: str, out: str) -> DataFrame:
     """Add ``out``, the subset hashes of column ``text``.  ``cells`` is one
-    row of at most ``max_lexicon`` hashes, joined to every row."""
+    row of the band's hashes, joined to every row."""
     terms = df.withColumn("_terms", term_hashes(F.col(text))).withColumn("_one", F.lit(1))
     kept = terms.join(F.broadcast(cells.withColumn("_one", F.lit(1))), "_one")
     kept = kept.withColumn("_kept", kept_terms(F.col("_terms"), F.col("cells"))).drop("cells", "_one")
@@ -111,8 +109,7 @@ def _range_bucket(col: Column, bounds: list[int]) -> Column:
     return F.when(at == 0, F.lit(0)).otherwise((at - 1) * s + inside)
 
 
-def fingerprint_pairs(df: DataFrame, min_share: float = 0.0005, max_share: float = 0.1,
-                      max_lexicon: int = MAX_LEXICON) -> DataFrame:
+def fingerprint_pairs(df: DataFrame, min_share: float = 0.0005, max_share: float = 0.1) -> DataFrame:
     """Fingerprints of every text and of its edited text, whose last half
     is replaced by the start of the next document.
 
@@ -123,7 +120,7 @@ def fingerprint_pairs(df: DataFrame, min_share: float = 0.0005, max_share: float
     lowest = -(1 << 63)
     docs = df.select(F.col("doc_id"), F.coalesce("doc_id", F.lit(lowest)).alias("_ord"),
                      F.coalesce("text", F.lit("")).alias("text"))
-    cells = lexicon(docs.select(term_hashes(F.col("text")).alias("terms")), min_share, max_share, max_lexicon)
+    cells = lexicon(docs.select(term_hashes(F.col("text")).alias("terms")), min_share, max_share)
     n_parts = partitions(df.sparkSession)
     bounds = sorted({int(b) for b in docs.approxQuantile("_ord", [i / n_parts for i in range(1, n_parts)], 0.25 / n_parts)})
     docs = docs.withColumn("_tie", F.xxhash64("text"))

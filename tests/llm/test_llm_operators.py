@@ -145,6 +145,15 @@ def test_fingerprints(spark, edge, empty):
     assert not re.search("Python|Arrow|Pandas", plan)
 
 
+def test_lexicon_is_the_whole_band(spark):
+    terms = spark.range(40).select(F.col("id"), F.expr("transform(sequence(0, 2999), k -> xxhash64(k + 3000 * (id div 2)))").alias("terms"))
+    cells = fingerprints.lexicon(terms, 0.0005, 0.1).first()["cells"]
+    assert sum(map(len, cells)) == 60_000
+    text = " ".join(f"w{i}" for i in range(300))
+    df = spark.createDataFrame([(d, text) for d in range(3)], "doc_id long, text string")
+    assert {len(r["fingerprint"]) for r in fingerprints.fingerprint_pairs(df).collect()} == {8 * len(fingerprints.SUBSETS)}
+
+
 def test_sampled_segmentations_are_lossless_and_reproducible(spark, edge, empty):
     path = public_tokenizers.path("piece_bpe_32k.model")
     got = LLM_QUERIES["op3_sentencepiece"](spark, SMALL).collect()
