@@ -126,19 +126,23 @@ class WordEncoder:
     and a word met before need not be encoded again.  A word of letters is
     one pre-token, for which the library's BPE model is asked directly.
     Texts with the control characters 0x1C-0x1F, on which the two blank
-    classes differ, are encoded in one go.
+    classes differ, or with the content of an added token are encoded in one
+    go.  ``literal``: special tokens in a text are plain characters; without
+    it, as by the library's default, they get their own ids.
     """
 
     LETTER = "[a-zA-ZÀ-ÖØ-öø-ÿ]"
     CUT = re.compile(rf"\s+(?!\S)| ?{LETTER}+(?![^\s.,;:!?|%$&*#()\[\]])| ?\S+|\s+")
     PLAIN = re.compile(f" ?{LETTER}+")
-    ODD = re.compile("[\x1c-\x1f]")
+    ODD = "[\x1c-\x1f]"
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, literal: bool = True):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True
+        self.tok.encode_special_tokens = literal
+        added = [t.content for t in self.tok.get_added_tokens_decoder().values() if t.content]
+        self.odd = re.compile("|".join([self.ODD, *map(re.escape, added)]))
         # the byte-level alphabet: printable Latin-1 stands for itself
         own = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = [b for b in range(256) if b not in own]
@@ -175,7 +179,7 @@ class WordEncoder:
     def batch(self, texts: list[str]) -> Iterator[np.ndarray]:
         if len(self.known) > WORD_CACHE:
             self.clear()
-        odd = {i: self.tok.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts) if self.ODD.search(t)}
+        odd = {i: self.tok.encode(t, add_special_tokens=False).ids for i, t in enumerate(texts) if self.odd.search(t)}
         cut = [[] if i in odd else self.CUT.findall(t) for i, t in enumerate(texts)]
         count = np.cumsum([0, *map(len, cut)])
         code = np.fromiter(map(self.known.__getitem__, chain.from_iterable(cut)), np.int64, count[-1])
@@ -195,7 +199,7 @@ _encoders: dict[str, WordEncoder] = {}
 def encoder(path: str) -> WordEncoder:
     """The worker's encoder; what it has learned serves its later tasks."""
     if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
+        _encoders[path] = WordEncoder(path, literal=False)
     return _encoders[path]
 
 

@@ -339,6 +339,21 @@ def test_token_files(spark, edge, empty, work):
     assert token_files.read_tokens(spark, work + "-empty").count() == 0
 
 
+def test_token_files_follow_the_library_on_special_tokens(spark, work):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok = Tokenizer.from_file(path)
+    rows = [(1, "<|endoftext|> x"), (2, "word <|endoftext|>tail, it's  two"), (3, "plain words")]
+    token_files.write_tokens(spark.createDataFrame(rows, "doc_id long, text string"), work, path)
+    got = sorted(map(tuple, token_files.read_tokens(spark, work).collect()))
+    start = 0
+    for (d, t), r in zip(rows, got):
+        ids = tok.encode(t, add_special_tokens=False).ids + [0]
+        assert r == (d, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+
+
 def test_codes_random_access():
     rng = np.random.default_rng(3)
     ids = rng.integers(0, 1 << 32, 3000) >> rng.integers(0, 32, 3000)
