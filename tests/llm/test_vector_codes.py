@@ -1,0 +1,100 @@
+"""Active-entry Lloyd against complete scans in plain Python."""
+
+import hashlib
+
+import duckdb
+import numpy as np
+import pytest
+
+from commitlens.llm import vector_codes as vc
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def brute(rows, parts=8, entries=16, rounds=6):
+    """{(vec_id, n-th): (code, error)}, digest: the contract, row by row."""
+    kept = [(i, v) for i, v in rows if v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    kept.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    width = -(-len(kept[0][1]) // parts)
+    ints = [[int(np.floor(x * 4096.0)) for x in v] + [0] * (parts * width - len(v)) for _, v in kept]
+    cut = [[tuple(v[p * width:(p + 1) * width]) for p in range(parts)] for v in ints]
+    books = [[c[p] for c in cut[:entries]] for p in range(parts)]
+
+    def near(x, book):
+        return min((sum((a - b) ** 2 for a, b in zip(x, e)), k) for k, e in enumerate(book))
+
+    for _ in range(rounds):
+        at = [[near(c[p], books[p])[1] for p in range(parts)] for c in cut]
+        for p in range(parts):
+            for e in range(len(books[p])):
+                mine = [c[p] for c, a in zip(cut, at) if a[p] == e]
+                if mine:
+                    books[p][e] = tuple(sum(col) // len(mine) for col in zip(*mine))
+    got = [[near(c[p], books[p]) for p in range(parts)] for c in cut]
+    out = [(kept[n][0], "".join(f"{e:02x}" for _, e in g), sum(d for d, _ in g)) for n, g in enumerate(got)]
+    text = ",".join(str(x) for b in books for e in b for x in e)
+    return out, hashlib.sha256(text.encode()).hexdigest()
+
+
+def frame(spark, rows):
+    data = [(i, v, (i or 0) % 3 if i != 5 else None, "x", 1.0) for i, v in rows]
+    return spark.createDataFrame(data, "vec_id long, embedding array<float>, label int, code string, error double").repartition(3)
+
+
+def vectors(n, dim, seed):
+    r = np.random.default_rng(seed)
+    centre = r.normal(0, 1, (9, dim))
+    return [np.round(centre[k % 9] + r.normal(0, 0.2, dim), 2).astype(np.float32).tolist() for k in range(n)]
+
+
+@pytest.mark.parametrize("dim", [64, 19, 8])
+def test_equals_complete_scans(spark, dim):
+    v = vectors(150, dim, dim)
+    rows = [(i * 2, x) for i, x in enumerate(v)]
+    rows += [(1, None), (3, [float("nan")] * dim), (5, [None] + v[0][1:]), (7, [float("inf")] + v[0][1:])]
+    rows += [(4, v[2]), (4, v[9]), (None, v[1])] + [(1000 + i, v[3]) for i in range(60)]  # repeated ids, a hot vector
+    fitted = vc.Lloyd(frame(spark, rows))
+    got = [(r["vec_id"], r["code"], r["error"]) for r in fitted.codes().collect()]
+    want, digest = brute(rows)
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert fitted.digest() == digest
+
+
+def test_fewer_distances_than_complete_scans_and_lower_index_on_ties():
+    r = np.random.default_rng(1)
+    x = r.integers(-3, 4, (400, 2, 3))
+    book = r.integers(-3, 4, (2, 6, 3))
+    entry, distance, _ = vc.assign(x, book, np.ones((2, 6), bool), None, None)
+    new = book.copy()
+    new[0, 2] += 1
+    new[1, 5] = new[1, 0]  # a tie with a lower index
+    moved = (new != book).any(-1)
+    got = vc.assign(x, new, moved, entry, distance)
+    want = vc.assign(x, new, moved, None, None)
+    assert (got[0] == want[0]).all() and (got[1] == want[1]).all()
+    assert got[2] < want[2] / 2
+    full = ((x[:, :, None] - new) ** 2).sum(-1)
+    assert (got[0] == full.argmin(-1)).all()
+
+
+def test_other_dimensions_few_rows_empty_table(spark):
+    few = frame(spark, [(2, [1.0] * 16), (1, [0.0] * 16), (3, [1.0, 2.0])])
+    got = {r["vec_id"]: (r["code"], r["error"]) for r in vc.Lloyd(few).codes().collect()}
+    assert got == {1: ("00" * 8, 0), 2: ("01" * 8, 0), 3: (None, None)}
+    assert vc.Lloyd(few.filter("1 = 0")).codes().collect() == []
+    none = vc.Lloyd(frame(spark, [(1, []), (2, [])]))
+    assert sorted((r["code"], r["error"]) for r in none.codes().collect()) == [("00" * 8, 0)] * 2
+    with pytest.raises(Exception, match="too large"):
+        vc.Lloyd(frame(spark, [(1, [1e30] * 8)]))
+
+
+def test_query_equals_sql_and_brute_force(spark):
+    rows = duckdb.sql(f"select vec_id, embedding from '{SMALL}/embeddings.parquet'").fetchall()
+    con = duckdb.connect()
+    con.sql(f"create view embeddings as select * from '{SMALL}/embeddings.parquet'")
+    got = vc.op12_vector_codes(spark, SMALL)
+    assert got.columns == ["vec_id", "code", "error", "label_error", "codebooks_sha256"]
+    got = sorted(map(tuple, got.collect()))
+    assert got == sorted(con.sql(vc.ORACLE_SQL).fetchall())
+    want, digest = brute(rows)
+    assert [(a, b, c) for a, b, c, _, _ in got] == sorted(want) and {r[4] for r in got} == {digest}
