@@ -98,8 +98,8 @@ def assign(x: np.ndarray, codebooks: np.ndarray, moved: np.ndarray, entry: np.nd
     return entry, distance, done
 
 
-def _matrix(col: pa.Array, width: int) -> np.ndarray:
-    return col.flatten().to_numpy(zero_copy_only=False).reshape(len(col), width).astype(np.int64)
+def _matrix(col: pa.Array, *shape: int) -> np.ndarray:
+    return col.flatten().to_numpy(zero_copy_only=False).reshape(len(col), *shape).astype(np.int64)
 
 
 def _lists(x: np.ndarray, kind: pa.DataType, use: np.ndarray) -> pa.Array:
@@ -156,7 +156,7 @@ class Lloyd:
             for b in batches:
                 use = b.column(2).is_valid().to_numpy(zero_copy_only=False)
                 some = b.filter(pa.array(use))
-                x = _matrix(some.column(2), parts * width).reshape(-1, parts, width)
+                x = _matrix(some.column(2), parts, width)
                 known = some.num_rows and some.column(3).null_count == 0
                 entry, distance, _ = assign(x, codebooks, moved, _matrix(some.column(3), parts) if known else None,
                                             _matrix(some.column(4), parts) if known else None)
@@ -174,7 +174,7 @@ class Lloyd:
             count, total = np.zeros((parts, k), np.int64), np.zeros((parts, k, width), np.int64)
             for b in batches:
                 b = b.filter(b.column(0).is_valid())
-                x = _matrix(b.column(0), parts * width).reshape(-1, parts, width)
+                x = _matrix(b.column(0), parts, width)
                 entry = _matrix(b.column(1), parts)
                 for p in range(parts):
                     for e in range(k):
