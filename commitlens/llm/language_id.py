@@ -10,7 +10,8 @@ none, so they keep their occurrences), and the lowest is interpolated with
 the uniform distribution over the characters of the model and one unknown.
 
 A model is one sorted array of 64-bit n-gram hashes with two parallel
-arrays, log probability and log weight of the next lower order.  A text
+arrays, log probability and log weight of the next lower order, and a
+directory of the first place of every value of the hashes' leading bits.  A text
 goes to the language of the lowest cross-entropy per character, ties to
 the first name.
 
@@ -181,19 +182,33 @@ class KneserNey:
     prob: np.ndarray
     weight: np.ndarray
     unseen: float
+    #: how far to shift a hash for its leading bits, their first places, and the most places of one
+    shift: int
+    place: np.ndarray
+    crowd: int
 
     @classmethod
     def of(cls, gram: np.ndarray, prob: np.ndarray, weight: np.ndarray, unseen: float) -> "KneserNey":
         order = np.argsort(gram)
+        bits = max(1, len(gram).bit_length() + 1)
+        hashes = np.append(gram[order], gram.max(initial=U64(0)))  # one more place to look at
+        place = np.searchsorted(hashes[:-1] >> U64(64 - bits), np.arange((1 << bits) + 1, dtype=U64))
         with np.errstate(divide="ignore"):
-            return cls(gram[order], np.log2(prob[order]), np.where(np.isnan(weight[order]), 0.0, np.log2(weight[order])), float(np.log2(unseen)))
+            return cls(hashes, np.log2(prob[order]), np.where(np.isnan(weight[order]), 0.0, np.log2(weight[order])), float(np.log2(unseen)),
+                       64 - bits, place, int(np.diff(place).max(initial=0)))
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """Place of every hash, -1 if it is not there."""
-        if not len(self.hashes):
-            return np.full(len(h), -1)
-        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == h, at, -1)
+        last = len(self.prob)
+        at = self.place[h >> U64(self.shift)]
+        found = self.hashes[at] == h
+        miss = np.flatnonzero(~found)
+        for k in range(1, self.crowd):
+            near = np.minimum(at[miss] + k, last)
+            hit = self.hashes[near] == h[miss]
+            at[miss[hit]], found[miss[hit]] = near[hit], True
+            miss = miss[~hit & (self.hashes[near] <= h[miss])]
+        return np.where(found & (at < last), at, -1)
 
     def bits(self, grams: WordGrams) -> np.ndarray:
         """Bits of every character of the distinct words."""
