@@ -1,9 +1,9 @@
 """DuckDB oracle SQL for each registered query (same names, columns, types).
 
-The snapshot oracles use the reference's own *cumulative* formulation
-(each action repeated for every later version, adds minus removes),
-so they check the interval form of ``commitlens.operators.snapshots``
-rather than restate it.
+The snapshot oracles are written from the definition -- an add is live at
+every later version before its file's first removal --, with each add
+repeated for every later version, so they check the interval form of
+``commitlens.operators.snapshots`` rather than restate it.
 """
 
 from __future__ import annotations
@@ -262,6 +262,9 @@ SELECT r.entry, r.entry, d.location FROM rest2 r JOIN delta d ON lower(r.entry)
 }
 
 
+ORACLE["live_file_intervals"] = ORACLE["replay_file_intervals"]
+
+
 def _stream_oracle() -> dict[str, str]:
     from commitlens.plans.stream_queries import STREAM_ORACLE
 

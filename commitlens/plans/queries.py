@@ -21,10 +21,12 @@ from commitlens.operators import merge, refine, registry, snapshots
 from commitlens.operators.consolidate import consolidate_globs
 from commitlens.plans import fixtures as fx
 from commitlens.schemas import (
-    ACTION_FIELDS, COMMIT_DATE, COMMIT_VERSION, COMMITTED_ON, EXTRA_CONFIG, FILE_NAME, IGNORE, PATH,
+    ACTION_FIELDS, COMMIT_DATE, COMMIT_VERSION, COMMITTED_ON, EXTRA_CONFIG, FILE_NAME, IGNORE, INGEST_SEQ, PATH,
     PATH_ID, UPDATED_ON, WC_PATH, WC_PATH_ID,
 )
+from commitlens.session import scratch_path
 from commitlens.sources.commit_log import with_commit_columns
+from commitlens.streaming.interval_table import IntervalTable
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -102,8 +104,9 @@ def q_live_files_incremental(spark, sf):
     # J8 carries the previous snapshot's last-version rows: take them as
     # the state (no expansion of the history), written once to the
     # shared folder as a production job would keep it between runs
+    # and so is the landed batch, which the operator reads several times
     state = snapshots.snapshot_state(fx.split_target(f1)).checkpoint(eager=True)
-    new = merge.insert_only_merge(fx.split_batch(f1), fx.split_target(f1))
+    new = merge.insert_only_merge(fx.split_batch(f1), fx.split_target(f1)).checkpoint(eager=True)
     return _snapshot(snapshots.live_files_incremental(state, new, previous_is_state=True))
 
 
@@ -123,6 +126,20 @@ def q_replay_file_intervals(spark, sf):
                      F.col("add_file.size").alias("add_size"))
 
 
+INCREMENT_DAYS = (10, 20)  # last day (ingest_seq) of the first and of the second increment
+
+
+def q_live_file_intervals(spark, sf):
+    """W3 sink: three stored increments; each reads only the open side of
+    the one before."""
+    f1 = _f1(spark, sf)
+    stored = IntervalTable(spark, scratch_path(spark, "intervals"))
+    day, (a, b) = F.col(INGEST_SEQ), INCREMENT_DAYS
+    for n, part in enumerate((day <= a, (day > a) & (day <= b), day > b)):
+        stored.apply(n, f1.where(part))
+    return stored.intervals(2).select(PATH_ID, "data_path", "file", "start", "end", F.col("add_file.size").alias("add_size"))
+
+
 def q_dedup_adds(spark, sf):
     adds, _ = snapshots.file_actions(_f1(spark, sf))
     return snapshots.dedup_adds(adds).select(
@@ -249,6 +266,7 @@ QUERIES: dict[str, QueryFn] = {
     "live_files_incremental": q_live_files_incremental,
     "live_file_metrics": q_live_file_metrics,
     "live_files_state": q_live_files_state,
+    "live_file_intervals": q_live_file_intervals,
     "dedup_adds": q_dedup_adds,
     "replay_file_intervals": q_replay_file_intervals,
     "insert_only_merge": q_insert_only_merge,
