@@ -39,16 +39,50 @@ def prune_target(target: DataFrame, lo, hi, date_col: str = COMMIT_DATE) -> Data
 
 
 def batch_bounds(batch: DataFrame):
-    """(min date, max date, (min table id, max table id)) of a batch: four
-    values from one partially aggregated job."""
-    row = batch.agg(F.min(COMMIT_DATE).alias("lo"), F.max(COMMIT_DATE).alias("hi"),
+    """(min date, max date, (min table id, max table id), rows) of a batch:
+    five values from one partially aggregated job."""
+    row = batch.agg(F.min(COMMIT_DATE).alias("lo"), F.max(COMMIT_DATE).alias("hi"), F.count(F.lit(1)).alias("n"),
                     F.min(PATH_ID).alias("first"), F.max(PATH_ID).alias("last")).first()
-    return row["lo"], row["hi"], (row["first"], row["last"])
+    return row["lo"], row["hi"], (row["first"], row["last"]), row["n"]
+
+
+# ---- F8 key filter -----------------------------------------------------------
+
+KEY_BITS_MIN, KEY_BITS_MAX = 15, 28   # 2**28 bits: 32 MB of bitmaps at most
+
+
+def key_bits(rows: int) -> int:
+    """Bits of the filter as a power of two: 16 for each row of the batch,
+    within the bounds that keep it small enough to send to every task."""
+    return min(KEY_BITS_MAX, max(KEY_BITS_MIN, (16 * max(1, rows) - 1).bit_length()))
+
+
+def _key_place(keys: list[str], bits: int) -> Column:
+    return F.xxhash64(*keys).bitwiseAND(F.lit((1 << bits) - 1))
+
+
+def key_filter(batch: DataFrame, keys: list[str], bits: int) -> DataFrame:
+    """Bitmaps (``_bucket``, ``_bitmap``) over the hashed keys of a batch."""
+    place = batch.select(_key_place(keys, bits).alias("p"))
+    return place.groupBy(F.bitmap_bucket_number("p").alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("_bitmap"))
+
+
+def may_match(target: DataFrame, filter_: DataFrame, keys: list[str], bits: int) -> DataFrame:
+    """Rows of ``target`` whose key's bit is set: all that match the batch
+    and few others.  The filter has at most 2**bits bits, so it is sent to
+    the scan's tasks and the rest of the target is never shuffled."""
+    place = _key_place(keys, bits)
+    t = target.withColumn("_p", place).withColumn("_bucket", F.bitmap_bucket_number("_p"))
+    hit = t.join(F.broadcast(filter_), "_bucket").withColumn("_at", F.bitmap_bit_position("_p"))
+    byte = F.expr("cast(conv(hex(substring(_bitmap, cast(_at div 8 as int) + 1, 1)), 16, 10) as int)")
+    return hit.where(F.getbit(byte.cast("bigint"), (F.col("_at") % 8).cast("int")) == 1).select(*target.columns)
 
 
 def insert_only_merge(batch: DataFrame, target: DataFrame, keys: list[str] = COMMIT_KEY,
                       prune: bool = False,
-                      id_bounds: tuple[str | None, str | None] | None = None) -> DataFrame:
+                      id_bounds: tuple[str | None, str | None] | None = None,
+                      batch_rows: int | None = None) -> DataFrame:
     """Rows of ``batch`` whose commit key is absent from ``target``.
 
     All rows of a new commit are inserted (no dedup inside the batch);
@@ -58,7 +92,9 @@ def insert_only_merge(batch: DataFrame, target: DataFrame, keys: list[str] = COM
     For a *stored* target: ``prune`` limits it to the batch's date range
     (a partition filter; one small job over the batch), ``id_bounds`` (see
     ``batch_bounds``) to its range of table ids, which reaches Parquet as
-    a row-group filter on files sorted by id.
+    a row-group filter on files sorted by id.  ``batch_rows``, the size of
+    the batch, adds the key filter: only target rows that may match one of
+    the batch's keys reach the shuffle.
     """
     tgt = target.select(*keys)
     if prune and COMMIT_DATE in keys:
@@ -66,6 +102,9 @@ def insert_only_merge(batch: DataFrame, target: DataFrame, keys: list[str] = COM
         tgt = prune_target(tgt, lo, hi)
     if id_bounds is not None and PATH_ID in keys:
         tgt = tgt.where(F.col(PATH_ID).between(F.lit(id_bounds[0]), F.lit(id_bounds[1])))
+    if batch_rows is not None:
+        bits = key_bits(batch_rows)
+        tgt = may_match(tgt, key_filter(batch, keys, bits), keys, bits)
     cond = [batch[k] == tgt[k] for k in keys]
     return batch.join(tgt, on=cond, how="left_anti")
 

@@ -128,6 +128,13 @@ LANDED_SCHEMA = T.StructType(
        T.StructField(COMMIT_DATE, T.DateType())]
 )
 
+# Notice of a landed batch (one JSON file each).
+NOTICE_SCHEMA = _s(
+    ("mode", T.StringType()), ("stream", T.StringType()), ("run", T.StringType()), ("batch", T.LongType()),
+    ("rows_read", T.LongType()), ("rows_landed", T.LongType()), ("rows_known", T.LongType()),
+    ("min_version", T.LongType()), ("max_version", T.LongType()),
+)
+
 MASTER_SCHEMA = _s(
     (PATH, T.StringType()),
     (IGNORE, T.BooleanType()),
