@@ -17,6 +17,7 @@ from commitlens.schemas import (
     COMMIT_VERSION, EXTRA_CONFIG, FULL_TABLE_NAME, IGNORE, PATH, PATH_ID,
     UPDATED_ON, WC_PATH, WC_PATH_ID, WILDCARD_LEVEL,
 )
+from commitlens.session import ensure_work_dir
 
 
 class ConfigError(ValueError):
@@ -160,57 +161,82 @@ def inventory_from_catalog(spark, databases: list[str] | None = None) -> DataFra
 
 # ---- S6 location resolution --------------------------------------------------
 
+def databases_from_catalog(spark) -> DataFrame:
+    """The session catalog's databases (column ``db``), also those without
+    a table."""
+    return spark.sql("SHOW DATABASES").select(F.regexp_replace("namespace", "`", "").alias("db"))
+
+
+def location_lookup(inventory: DataFrame, databases: DataFrame, provider: str = "delta",
+                    table_paths: DataFrame | None = None, current_db: str | None = None) -> DataFrame:
+    """What an entry can stand for, keyed by (``kind``, ``key``): the tables
+    of a database (a row without a location marks the database itself), a
+    table path, a table name."""
+    tables = inventory.where(F.lower("provider") == provider)
+    full = F.concat_ws(".", "db", "table")
+    none = F.lit(None).cast("string")
+
+    def rows(df: DataFrame, kind: str, key, name) -> DataFrame:
+        return df.select(F.lit(kind).alias("kind"), key.alias("key"), name.alias("_name"), F.col("location").alias("_loc"))
+
+    paths = tables.select("location")
+    if table_paths is not None:   # path tables found on storage, outside the catalog
+        paths = paths.unionByName(table_paths.select("location"))
+    out = (rows(tables, "db", F.lower("db"), full)
+           .unionByName(rows(databases.select("db", none.alias("location")).distinct(), "db", F.lower("db"), none))
+           .unionByName(rows(paths.distinct(), "path", F.col("location"), none))
+           .unionByName(rows(tables, "name", F.lower(full), none)))
+    if current_db is not None:
+        here = tables.where(F.lower("db") == current_db.lower())
+        out = out.unionByName(rows(here, "name", F.lower("table"), none))
+    return out
+
+
 def resolve_locations(entries: DataFrame, inventory: DataFrame, provider: str = "delta",
                       raise_unresolved: bool = True,
                       table_paths: DataFrame | None = None,
-                      current_db: str | None = None) -> DataFrame:
+                      current_db: str | None = None, databases: DataFrame | None = None) -> DataFrame:
     """Each config entry becomes (fullTableName?, deltaLocation).
 
     Precedence: (a) an entry without ``/`` and ``.`` that names a
-    database stands for every table of it; (b) an entry equal to a
-    table's location is that path (no name); (c) an entry equal to a
-    ``db.table`` name is that table, and one equal to a table of
-    ``current_db`` is that table too.  Databases and names match in any
-    case, as catalogs do.  Entries resolved by none raise.
+    database stands for every table of it -- for none if it is empty;
+    (b) an entry equal to a table's location is that path (no name);
+    (c) an entry equal to a ``db.table`` name is that table, and one equal
+    to a table of ``current_db`` is that table too.  Databases and names
+    match in any case, with or without backticks and the session catalog's
+    name in front, as identifiers do.  Entries resolved by none raise.
     Other columns of ``entries`` (e.g. ``extraConfig``) are carried.
     ``table_paths`` (column ``location``) adds table paths that are not
-    in the catalog (see ``discovery.table_paths``).
+    in the catalog (see ``discovery.table_paths``); ``databases`` (column
+    ``db``) are all databases, by default those that have tables.
+
+    Every distinct entry is looked up once, by its possible keys, and the
+    choice is kept in the shared folder; the tables of a database are then
+    one join away.
     """
     carry = [c for c in entries.columns if c != "entry"]
-    tables = inventory.where(F.lower("provider") == provider)
-    dbs = inventory.select(F.lower("db").alias("_db")).distinct()
-    locs = tables.select(F.col("location").alias("_loc"))
-    if table_paths is not None:   # path tables found on storage, outside the catalog
-        locs = locs.unionByName(table_paths.select(F.col("location").alias("_loc")))
-    locs = locs.distinct()
-    names = tables.select(F.lower(F.concat_ws(".", "db", "table")).alias("_lname"),
-                          F.col("location").alias("_name_loc"))
-
-    if current_db is not None:
-        here = tables.where(F.lower("db") == current_db.lower())
-        names = names.unionByName(here.select(F.lower("table").alias("_lname"), F.col("location").alias("_name_loc")))
-
-    # classify every entry once: one left join per kind, precedence by CASE
-    e = (entries.join(dbs, F.lower(entries["entry"]) == dbs["_db"], "left")
-         .join(locs, F.col("entry") == F.col("_loc"), "left")
-         .join(names, F.lower(F.col("entry")) == F.col("_lname"), "left"))
-    is_db_name = ~F.col("entry").contains("/") & ~F.col("entry").contains(".") & F.col("_db").isNotNull()
-    e = e.withColumn("_kind", F.when(is_db_name, "db").when(F.col("_loc").isNotNull(), "path")
-                     .when(F.col("_name_loc").isNotNull(), "name"))
+    known = inventory.select("db")
+    if databases is not None:
+        known = known.unionByName(databases.select("db"))
+    lookup = location_lookup(inventory, known.distinct(), provider, table_paths, current_db)
+    bare = F.regexp_replace("entry", "`", "")
+    ident = F.regexp_replace(F.lower(bare), r"^spark_catalog\.", "")
+    is_db = ~F.col("entry").contains("/") & ~bare.contains(".")
+    distinct = entries.select("entry").distinct()
+    asked = distinct.select("entry", F.explode(F.array(
+        F.struct(F.lit(1).alias("rank"), F.lit("db").alias("kind"), F.when(is_db, F.lower(bare)).alias("key")),
+        F.struct(F.lit(2).alias("rank"), F.lit("path").alias("kind"), F.col("entry").alias("key")),
+        F.struct(F.lit(3).alias("rank"), F.lit("name").alias("kind"), ident.alias("key")))).alias("c")).select("entry", "c.*")
+    best = (asked.join(lookup.select("kind", "key").distinct(), ["kind", "key"]).groupBy("entry")
+            .agg(F.min(F.struct("rank", "kind", "key")).alias("_b")))
+    ensure_work_dir(entries.sparkSession)
+    chosen = (distinct.join(best, "entry", "left").select("entry", F.col("_b.kind").alias("kind"), F.col("_b.key").alias("key"))
+              .checkpoint(eager=True))
     if raise_unresolved:
-        bad = [r["entry"] for r in e.where(F.col("_kind").isNull()).select("entry").limit(20).collect()]
+        bad = [r["entry"] for r in chosen.where(F.col("kind").isNull()).select("entry").limit(20).collect()]
         if bad:
             raise ConfigError(
                 "not a database, table path or table name: " + ", ".join(map(str, bad)))
-    # a database stands for each of its tables (1 -> N); others keep one row
-    per_db = tables.select(F.col("db").alias("_tdb"), F.col("table").alias("_tbl"),
-                           F.col("location").alias("_tloc"))
-    x = e.where(F.col("_kind").isNotNull()).join(
-        per_db, (F.col("_kind") == "db") & (F.col("_db") == F.lower("_tdb")), "left")
-    x = x.where((F.col("_kind") != "db") | F.col("_tbl").isNotNull())
-    name = (F.when(F.col("_kind") == "db", F.concat_ws(".", "_tdb", "_tbl"))
-            .when(F.col("_kind") == "name", F.col("entry")))
-    loc = (F.when(F.col("_kind") == "db", F.col("_tloc"))
-           .when(F.col("_kind") == "path", F.col("entry"))
-           .otherwise(F.col("_name_loc")))
-    return x.select("entry", name.cast("string").alias(FULL_TABLE_NAME), loc.alias(PATH), *carry)
+    found = chosen.join(lookup.where(F.col("_loc").isNotNull()), ["kind", "key"])
+    name = F.when(F.col("kind") == "name", F.col("entry")).otherwise(F.col("_name"))
+    return entries.join(found, "entry").select("entry", name.alias(FULL_TABLE_NAME), F.col("_loc").alias(PATH), *carry)

@@ -225,12 +225,24 @@ def catalog_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+EMPTY_DATABASE = "antarctica"   # a database without tables
+
+
+def resolution_databases(inventory: DataFrame) -> DataFrame:
+    """F4 databases and one that has no table."""
+    return inventory.select("db").distinct().unionByName(inventory.sparkSession.createDataFrame([(EMPTY_DATABASE,)], "db string"))
+
+
 def resolution_entries(inventory: DataFrame) -> DataFrame:
     """F4 entries to resolve: database names, ``db.table`` names of delta
-    tables, locations of delta tables."""
+    tables, locations of delta tables; databases and names also in other
+    spellings (case, backticks, catalog name), and the empty database."""
     delta = inventory.where(F.col("provider") == "delta")
-    return (inventory.select(F.col("db").alias("entry")).distinct()
-            .unionByName(delta.select(F.concat_ws(".", "db", "table").alias("entry")))
+    spellings = F.explode(F.array(F.concat_ws(".", "db", "table"), F.concat_ws(".", F.upper("db"), F.initcap("table")),
+                                  F.concat(F.lit("spark_catalog."), F.concat_ws(".", "db", "table")),
+                                  F.concat(F.lit("`"), F.col("db"), F.lit("`.`"), F.col("table"), F.lit("`"))))
+    return (resolution_databases(inventory).select(F.explode(F.array("db", F.initcap("db"))).alias("entry"))
+            .unionByName(delta.select(spellings.alias("entry")))
             .unionByName(delta.select(F.col("location").alias("entry"))))
 
 

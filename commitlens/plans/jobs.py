@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from commitlens.operators.consolidate import consolidate_globs
 from commitlens.operators.registry import (
-    catalog_filter, config_scan, expand_wildcards, inventory_from_catalog, parse_databases,
+    catalog_filter, config_scan, databases_from_catalog, expand_wildcards, inventory_from_catalog, parse_databases,
     registry_rows, resolve_locations, stream_slice,
 )
 from commitlens.schemas import (
@@ -26,6 +26,7 @@ from commitlens.sources.tables import RegistryStore
 from commitlens.streaming.ingest import Marks, await_all, start_ingest_streams
 from commitlens.streaming.progress import ProgressCollector
 from commitlens.streaming.refine_job import run_incremental_refine
+from commitlens.streaming.refine_stream import start_refine_stream
 
 CATALOG_LEVEL = "1"   # tables taken from the catalog are watched at level 1
 
@@ -37,7 +38,7 @@ def resolve_config(spark: SparkSession, rows: DataFrame, inventory: DataFrame |
     inv = inventory if inventory is not None else inventory_from_catalog(spark)
     entries = rows.select(F.col(PATH).alias("entry"), EXTRA_CONFIG)
     found = resolve_locations(entries, inv, table_paths=table_paths(rows),
-                              current_db=spark.catalog.currentDatabase())
+                              current_db=spark.catalog.currentDatabase(), databases=databases_from_catalog(spark))
     return found.select(FULL_TABLE_NAME, PATH, EXTRA_CONFIG)
 
 
@@ -100,6 +101,12 @@ def run_ingest(spark: SparkSession, registry: RegistryStore, target_root: str, c
     return queries
 
 
+def run_refine_stream(spark: SparkSession, unrefined_root: str, refined_path: str, checkpoint: str) -> None:
+    """E3 as a stream: every batch that was landed since the checkpoint is
+    refined; no ledger is kept."""
+    await_all([start_refine_stream(spark, unrefined_root, refined_path, checkpoint)])
+
+
 def run_refine(spark: SparkSession, unrefined_root: str, refined_path: str, ledger_path: str) -> Marks:
     """One increment of refinement; returns the new high-water marks."""
     return run_incremental_refine(spark, unrefined_root, refined_path, ledger_path)

@@ -9,7 +9,7 @@ repeated for every later version, so they check the interval form of
 from __future__ import annotations
 
 from commitlens.plans.fixtures import (
-    F1_CTE, F2_CTE, F4_CTE, REGISTRY_BATCH_UPDATED, REGISTRY_TARGET_UPDATED,
+    EMPTY_DATABASE, F1_CTE, F2_CTE, F4_CTE, REGISTRY_BATCH_UPDATED, REGISTRY_TARGET_UPDATED,
 )
 from commitlens.plans.queries import CATALOG_DATABASES, CATALOG_PATTERN, SLICE_LOWER, SLICE_UPPER
 from commitlens.operators.registry import parse_databases
@@ -119,11 +119,18 @@ def _catalog_where() -> str:
     return f"provider = 'delta' AND db IN ({dbs}) AND regexp_full_match(\"table\", '{alts}', 'i')"
 
 
-_ENTRIES = """
+_ENTRIES = f"""
+dbs AS (SELECT DISTINCT db FROM f4 UNION ALL SELECT '{EMPTY_DATABASE}'),
+delta AS (SELECT * FROM f4 WHERE provider = 'delta'),
 f4_entries AS (
-  SELECT DISTINCT db AS entry FROM f4
-  UNION ALL SELECT db || '.' || "table" FROM f4 WHERE provider = 'delta'
-  UNION ALL SELECT location FROM f4 WHERE provider = 'delta'
+  SELECT db AS entry, 'db' AS kind, db AS key FROM dbs
+  UNION ALL SELECT array_to_string(list_transform(string_split(db, ' '), lambda w: upper(left(w, 1)) || substring(w, 2)), ' '), 'db', db FROM dbs
+  UNION ALL SELECT location, 'path', location FROM delta
+  UNION ALL SELECT db || '.' || "table", 'name', location FROM delta
+  UNION ALL SELECT upper(db) || '.' || array_to_string(list_transform(string_split("table", ' '), lambda w: upper(left(w, 1)) || substring(w, 2)), ' '),
+                   'name', location FROM delta
+  UNION ALL SELECT 'spark_catalog.' || db || '.' || "table", 'name', location FROM delta
+  UNION ALL SELECT '`' || db || '`.`' || "table" || '`', 'name', location FROM delta
 )"""
 
 
@@ -246,19 +253,10 @@ FROM firsts f JOIN lasts l USING (deltaLocationIdentifier, wcPathIdentifier)""",
     "catalog_filter": _with(F4_CTE) +
         f"SELECT db || '.' || \"table\" AS fullTableName, location AS deltaLocation FROM f4 WHERE {_catalog_where()}",
     "resolve_locations": _with(F4_CTE, _ENTRIES) +
-        """, dbs AS (SELECT DISTINCT db FROM f4),
-delta AS (SELECT * FROM f4 WHERE provider = 'delta'),
-a_entries AS (SELECT entry FROM f4_entries
-              WHERE NOT contains(entry, '/') AND NOT contains(entry, '.') AND entry IN (SELECT db FROM dbs)),
-rest1 AS (SELECT entry FROM f4_entries WHERE entry NOT IN (SELECT entry FROM a_entries)),
-b AS (SELECT entry FROM rest1 WHERE entry IN (SELECT location FROM delta)),
-rest2 AS (SELECT entry FROM rest1 WHERE entry NOT IN (SELECT location FROM delta))
-SELECT e.entry, e.entry || '.' || d."table" AS fullTableName, d.location AS deltaLocation
-FROM a_entries e JOIN delta d ON d.db = e.entry
-UNION ALL
-SELECT entry, CAST(NULL AS VARCHAR), entry FROM b
+        """SELECT e.entry, d.db || '.' || d."table" AS fullTableName, d.location AS deltaLocation
+FROM f4_entries e JOIN delta d ON e.kind = 'db' AND d.db = e.key
 UNION ALL
-SELECT r.entry, r.entry, d.location FROM rest2 r JOIN delta d ON lower(r.entry) = lower(d.db || '.' || d."table")""",
+SELECT entry, CASE WHEN kind = 'name' THEN entry END, key FROM f4_entries WHERE kind <> 'db'""",
 }
 
 

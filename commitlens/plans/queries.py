@@ -254,7 +254,7 @@ def q_catalog_filter(spark, sf):
 
 def q_resolve_locations(spark, sf):
     inv = fx.catalog_inventory(spark, sf)
-    return registry.resolve_locations(fx.resolution_entries(inv), inv)
+    return registry.resolve_locations(fx.resolution_entries(inv), inv, databases=fx.resolution_databases(inv))
 
 
 QUERIES: dict[str, QueryFn] = {

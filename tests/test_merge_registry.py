@@ -101,6 +101,34 @@ def test_resolve_locations(spark):
         registry.resolve_locations(bad, inv)
 
 
+def test_resolve_empty_databases_and_identifiers(spark, work):
+    """A database without tables stands for nothing and does not raise;
+    identifiers are read as a catalog reads them; carried columns stay."""
+    inv = spark.createDataFrame([("sales", "orders", "delta", "/wh/sales/orders"),
+                                 ("sales", "odd name", "delta", "/wh/sales/odd")], CATALOG_INVENTORY_SCHEMA)
+    dbs = spark.createDataFrame([("sales",), ("void",)], "db string")
+    entries = spark.createDataFrame([("Void", 1), ("spark_catalog.SALES.orders", 2), ("`sales`.`odd name`", 3), ("`sales`", 4),
+                                     ("/wh/sales/odd", 5), ("/wh/sales/odd", 6)], "entry string, extra int")
+    got = sorted((r.extra, r.fullTableName, r.deltaLocation) for r in
+                 registry.resolve_locations(entries, inv, databases=dbs).collect())
+    assert got == [(2, "spark_catalog.SALES.orders", "/wh/sales/orders"), (3, "`sales`.`odd name`", "/wh/sales/odd"),
+                   (4, "sales.odd name", "/wh/sales/odd"), (4, "sales.orders", "/wh/sales/orders"),
+                   (5, None, "/wh/sales/odd"), (6, None, "/wh/sales/odd")]
+    with pytest.raises(registry.ConfigError, match="Void"):  # unknown unless the databases are given
+        registry.resolve_locations(entries, inv)
+    assert registry.resolve_locations(entries.limit(0), inv, databases=dbs).count() == 0
+
+
+def test_empty_database_of_the_session_catalog(spark, work):
+    from commitlens.plans.jobs import resolve_config
+    from commitlens.schemas import MASTER_SCHEMA
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS cl_void")
+    rows = spark.createDataFrame([("CL_void", False, {"wildCardLevel": "0"})], MASTER_SCHEMA)
+    assert resolve_config(spark, rows).count() == 0
+    spark.sql("DROP DATABASE cl_void")
+
+
 def test_stream_slice_bounds(spark):
     reg = reg_rows(spark, [(f"/t{i}", str(i), f"/t{i}/*", f"w{i:02d}") for i in range(10)], dt.datetime(2024, 1, 1))
     got = [(r.path_id, r.slice_row) for r in registry.stream_slice(reg, 3, 5).orderBy("slice_row").collect()]
