@@ -19,7 +19,8 @@ partner may be there (a partner has at least 3/4 of its size).
 order, rarest first: two linked sets agree on a piece among the first
 D + 1 of both.  Piece frequencies come from one shuffle of (piece, class);
 pieces of a single class never leave it, and a set whose first D + 1
-pieces are all its own has no partner.  Only what remains is joined.
+pieces are all its own has no partner.  Of the pieces that the same classes
+hold, one is joined.
 
 **Pairs.**  Equal sets are one class from the start.  In a group of
 classes that share a piece, all are first compared with the group's
@@ -58,6 +59,8 @@ WORDS = 5
 PER_PIECE = 2.2
 #: Members of the largest component that the rest of a group meets a round.
 CENTRES, ROUNDS = 6, 2
+#: Pieces that a piece remembers, so that a pair is not taken at each of many.
+BEFORE = 16
 _SALT = U64(0x5851F42D4C957F2D)
 
 
@@ -215,7 +218,8 @@ class JaccardJoin:
 
     def shared_pieces(self) -> DataFrame:
         """key, cls: the first D + 1 pieces of every class, rarest first,
-        as far as another class has them too."""
+        as far as another class has them too; ``before``: the class's
+        ``BEFORE`` pieces before this one."""
         n_parts = partitions(self.docs.sparkSession)
         keys = self.docs.select("doc_id", "text").mapInArrow(_pieces, "key long, cls long, low boolean").repartition(n_parts, "key")
         w = Window.partitionBy("key")
@@ -226,8 +230,15 @@ class JaccardJoin:
         # a class's own pieces come first in the order: of D + 1, they leave _take
         rows = lists.join(self.classes.select(*_MEMBER, "own_spare", "low_spare"), "cls")
         rows = rows.withColumn("_take", F.size("ks") - F.when(F.col("low"), F.col("low_spare")).otherwise(F.col("own_spare")))
-        first = rows.filter("_take > 0").select(*_MEMBER, F.explode(F.slice("ks", F.lit(1), F.least("_take", F.size("ks")))).alias("k"))
-        return stored(first.select("k.key", *_MEMBER), "pieces")
+        first = rows.filter("_take > 0").select(*_MEMBER, "low", F.explode(F.slice("ks", F.lit(1), F.least("_take", F.size("ks")))).alias("k"))
+        rows = stored(first.select("k.key", "k.df", "low", *_MEMBER), "pieces")
+        # a passage gives many pieces with the same members: one of them tells as much
+        signed = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c"), *(F.sum(F.xxhash64("cls", F.lit(i)).cast("decimal(38,0)")).alias(f"s{i}")
+                                                                         for i in (0, 1)))
+        one = signed.filter("c > 1").groupBy("c", "s0", "s1").agg(F.min("key").alias("key"))
+        before = Window.partitionBy("cls", "low").orderBy("df", "key").rowsBetween(-BEFORE, -1)
+        kept = rows.join(one.select("key"), "key", "left_semi").withColumn("before", F.collect_list("key").over(before))
+        return stored(kept.select("key", "before", *_MEMBER), "pieces")
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of classes that link."""
@@ -271,8 +282,10 @@ class JaccardJoin:
             links = stored(links.union(self.verified(tried.distinct())), "links")
         mixed = self._mixed(shared, links)
         x, y = mixed.alias("x"), mixed.alias("y")
+        # a pair is taken at its first common piece; at later ones a piece before mostly is common too
         across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.cls") < F.col("y.cls"))
-                        & (F.col("x.root") != F.col("y.root")) & F.expr(may_link("x.", "y.")))
+                        & (F.col("x.root") != F.col("y.root")) & ~F.arrays_overlap("x.before", "y.before")
+                        & F.expr(may_link("x.", "y.")))
         rest = self.verified(across.select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct())
         return stored(links.union(rest), "links").select(F.col("a").alias("u"), F.col("b").alias("v"))
 
@@ -281,7 +294,7 @@ class JaccardJoin:
         than one component holds."""
         roots = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
         named = shared.join(roots, F.col("cls") == F.col("node"), "left").select(
-            "key", *_MEMBER, F.coalesce("root", "cls").alias("root"))
+            "key", "before", *_MEMBER, F.coalesce("root", "cls").alias("root"))
         ends = named.groupBy("key").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).filter("_a <> _b").select("key")
         return stored(named.join(ends, "key", "left_semi"), "mixed")
 
