@@ -1,0 +1,74 @@
+"""The log tail: offsets by version, no listing of what was read."""
+
+import os
+
+from pyspark.sql import functions as F
+
+from commitlens.schemas import COMMIT_VERSION, PATH
+from commitlens.session import local_path
+from commitlens.sources import log_tail as lt
+from commitlens.sources.commit_log import read_commit_log
+from commitlens.streaming.ingest import await_all
+from test_streams import ALL, extra_cases, f5_actions, write_f5
+
+
+def test_offsets_ask_for_new_names_only(tmp_path, monkeypatch):
+    log = tmp_path / "lake" / "db" / "t" / "_delta_log"
+    log.mkdir(parents=True)
+    for v in range(3, 20):  # cleaned up below 3
+        (log / lt.version_name(v)).write_text("{}\n")
+    (log / "00000000000000000007.checkpoint.parquet").write_text("")
+    table = f"{tmp_path}/lake/db/t"
+    reader = lt.TailReader({"path": f"{tmp_path}/lake/*/*", "maxfilespertrigger": "10"})
+    asked, listed = [], []
+    there, first = lt._Store.there, lt._Store.first_version
+    monkeypatch.setattr(lt._Store, "there", lambda s, v: asked.extend(v) or there(s, v))
+    monkeypatch.setattr(lt._Store, "first_version", lambda s: listed.append(s.inner) or first(s))
+    assert reader.latestOffset() == {table: 13} and len(listed) == 1
+    parts = reader.partitions({}, {table: 13})
+    assert [f for p in parts for f in p.files] == [(table, v) for v in range(3, 13)]
+    asked.clear(), listed.clear()
+    assert reader.latestOffset() == {table: 20} and not listed and min(asked) == 13
+    asked.clear()
+    assert reader.latestOffset() == {table: 20} and asked == [20] and not listed
+    (log / lt.version_name(20)).write_text("{}\n")
+    new = tmp_path / "lake" / "db" / "new" / "_delta_log"
+    new.mkdir(parents=True)
+    (new / lt.version_name(0)).write_text("{}\n")
+    (tmp_path / "lake" / "db" / "plain").mkdir()
+    assert reader.latestOffset() == {table: 21, f"{tmp_path}/lake/db/new": 1}
+    # after a restart the reader goes on from the checkpoint's offset
+    again = lt.TailReader({"path": f"{tmp_path}/lake/*/*"})
+    again.partitions({}, {table: 21})
+    asked.clear(), listed.clear()
+    assert again.latestOffset()[table] == 21 and 20 not in asked
+
+
+def test_tail_equals_the_file_stream(spark, work):
+    import datetime as dt
+
+    out = work + "/out"
+
+    def run(most=None):
+        q = (lt.tail_commit_log(spark, local_path(work) + "/lake/*/*", most).writeStream.format("parquet")
+             .option("checkpointLocation", out + "/_cp").trigger(availableNow=True).start(out + "/data"))
+        await_all([q])
+
+    write_f5(spark, work, until=dt.datetime(2024, 1, 15))
+    run(40)
+    first = spark.read.parquet(out + "/data").count()
+    assert spark.read.parquet(out + "/data").select("file_name").distinct().count() == 40
+    run()
+    acts = write_f5(spark, work)
+    extra_cases(work)
+    run()
+    run()
+    got = spark.read.parquet(out + "/data")
+    assert 0 < first < got.count()
+    named = F.col("file_name").rlike(r"/_delta_log/\d{20}\.json$")
+    cols = [PATH, "deltaLocationIdentifier", COMMIT_VERSION, "commitShortDate", F.to_json(F.struct("commitInfo", "add", "remove", "txn")).alias("j")]
+    # files of other names have no version to follow; a tail reads each file once, also if it is written again
+    want = read_commit_log(spark, [work + ALL]).where(named)
+    a, b = got.select(*cols[:3], cols[4]), want.select(*cols[:3], cols[4])
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    assert got.where(F.col(PATH).rlike("/t[0-2]$")).count() == acts.count() == f5_actions(spark).count()
