@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 
 def bucketed_row_number(df: DataFrame, key: str, bucket: Column, order: list[Column | str],
-                        out: str = "row_number") -> DataFrame:
+                        out: str = "row_number", descending: bool = False) -> DataFrame:
     """``row_number()`` per ``key`` in ``order`` (1-based, bigint).
+    ``descending``: ``order`` runs downwards, and so do the buckets.
 
     ``bucket`` must be monotone in ``order`` (bucket(a) < bucket(b)
     implies a before b), e.g. ``date_trunc('hour', ts)`` for order
@@ -24,7 +25,8 @@ def bucketed_row_number(df: DataFrame, key: str, bucket: Column, order: list[Col
     """
     d = df.withColumn("_sq_bkt", bucket)
     counts = d.groupBy(key, "_sq_bkt").agg(F.count(F.lit(1)).alias("_sq_n"))
-    before = Window.partitionBy(key).orderBy("_sq_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    at = F.col("_sq_bkt")
+    before = Window.partitionBy(key).orderBy(at.desc() if descending else at).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(key, "_sq_bkt", F.coalesce(F.sum("_sq_n").over(before), F.lit(0)).alias("_sq_off"))
     inner = Window.partitionBy(key, "_sq_bkt").orderBy(*order)
     numbered = d.withColumn("_sq_rn", F.row_number().over(inner))

@@ -7,86 +7,83 @@ glob survives iff no glob *later* in the fold order has a related
 prefix.  With the fold order (glob, id) descending, "later" means
 smaller, so a glob survives iff it is the minimum of its related set.
 
-"Related" is substring containment of prefixes.  Instead of comparing
-all pairs, every distinct prefix is exploded into its substrings and
-equi-joined with the distinct prefixes: the join emits only the pairs
-that really are related, and the work per glob is quadratic in its
-length, not in the number of globs.
+"Related" is substring containment of prefixes.  A prefix that holds two
+slashes or more can only stand in another one where the segments between
+its first and last slash are a run of that one's segments; so every prefix
+gives its runs of inner segments, quadratic in its depth, and meets the
+prefixes whose own inner segments are such a run.  The text comparison is
+made inside that equi-join.  Prefixes with fewer slashes are looked for
+among the substrings of just their lengths, of which there are none as a
+rule.  Both sides carry what the result needs: one pass over the distinct
+prefixes, one join, one aggregation, and no job while the plan is built.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from commitlens.functions.paths import glob_prefix
-from commitlens.session import ensure_work_dir
+from commitlens.functions.sequence import bucketed_row_number
 from commitlens.schemas import WC_PATH, WC_PATH_ID
 
 
-def _sql_chars(chars: list[str]) -> str:
-    return "array(" + ", ".join("'" + c.replace("\\", "\\\\").replace("'", "\\'") + "'"
-                                for c in chars) + ")" if chars else "array()"
-
-
-def _substrings(prefixes: DataFrame) -> DataFrame:
-    """(pre, sub) for the substrings of each prefix that can equal some
-    prefix: they must start with a character some prefix starts with and
-    end with one some prefix ends with (both sets are bounded by the
-    alphabet).  Real prefixes start and end with ``/``, so a prefix
-    yields about depth^2/2 candidates instead of length^2/2.  The empty
-    substring is produced only if the empty prefix exists."""
-    row = prefixes.agg(
-        F.collect_set(F.when(F.length("pre") > 0, F.substring("pre", 1, 1))).alias("f"),
-        F.collect_set(F.when(F.length("pre") > 0, F.substring("pre", -1, 1))).alias("e"),
-        F.max((F.length("pre") == 0).cast("int")).alias("empty")).first()
-    firsts, lasts = sorted(row["f"] or []), sorted(row["e"] or [])
-    starts = F.expr(f"filter(sequence(1, greatest(length(pre), 1)), "
-                    f"x -> array_contains({_sql_chars(firsts)}, substring(pre, x, 1)))")
-    ends = F.expr(f"filter(sequence(1, greatest(length(pre), 1)), "
-                  f"x -> array_contains({_sql_chars(lasts)}, substring(pre, x, 1)))")
-    c = prefixes.select("pre", starts.alias("_s"), ends.alias("_e"))
-    c = c.select("pre", "_e", F.explode("_s").alias("i"))
-    c = c.select("pre", "i", F.explode(F.expr("filter(_e, y -> y >= i)")).alias("j"))
-    subs = c.select("pre", F.expr("substring(pre, i, j - i + 1)").alias("sub"))
-    if row["empty"]:
-        subs = subs.unionByName(prefixes.select("pre", F.lit("").alias("sub")))
-    return subs
+def _null_fails(col: str) -> Column:
+    return F.when(F.col(col).isNull(), F.raise_error(F.lit(f"{col} is NULL: a glob to consolidate has no value"))).otherwise(F.col(col))
+
+
+def _containing(per_pre: DataFrame) -> DataFrame:
+    """(p, p_min, q, q_min) for all prefixes p that q contains."""
+    segs = F.split("pre", "/")
+    inner = F.slice(segs, F.lit(2), F.greatest(F.size(segs) - 2, F.lit(0)))
+    d = per_pre.withColumn("_in", inner)
+    p = d.where(F.size(segs) >= 3).select(F.xxhash64("_in").alias("_run"), F.col("pre").alias("p"), F.col("kmin").alias("p_min"))
+    q = (d.withColumn("_i", F.explode(F.sequence(F.lit(1), F.size("_in")))).where("size(_in) > 0")
+         .withColumn("_n", F.explode(F.expr("sequence(1, size(_in) - _i + 1)")))
+         .select(F.xxhash64(F.slice("_in", F.col("_i"), F.col("_n"))).alias("_run"), F.col("pre").alias("q"), F.col("kmin").alias("q_min"))
+         .distinct())
+    deep = q.join(p, "_run").where(F.contains("q", "p"))
+    # fewer than two slashes: substrings of the lengths that occur
+    short = d.where(F.size(segs) < 3)
+    lengths = short.agg(F.collect_set(F.length("pre"))).scalar()
+    at = (d.withColumn("_n", F.explode(lengths)).where(F.length("pre") >= F.col("_n"))
+          .withColumn("_i", F.explode(F.expr("sequence(1, if(_n = 0, 1, length(pre) - _n + 1))")))
+          .select(F.expr("substring(pre, _i, _n)").alias("p"), F.col("pre").alias("q"), F.col("kmin").alias("q_min")).distinct())
+    flat = at.join(short.select(F.col("pre").alias("p"), F.col("kmin").alias("p_min")), "p")
+    cols = ["p", "p_min", "q", "q_min"]
+    return deep.select(*cols).unionByName(flat.select(*cols))
 
 
 def consolidate_globs(paths: DataFrame, glob_col: str = WC_PATH,
-                      id_col: str = WC_PATH_ID, strict: bool = False,
-                      materialize: bool = True) -> DataFrame:
-    """Consolidated (glob, id) rows.
+                      id_col: str = WC_PATH_ID, strict: bool = False) -> DataFrame:
+    """Consolidated (glob, id) rows and their ``rank`` in the fold's order,
+    globs descending (from 1).  A NULL glob fails the query.
 
     Default: the substring rule (kept for parity; note ``/x/*`` then
     swallows ``/y/x/*``).  ``strict=True`` only lets a glob replace one
     it really covers: same number of segments, its prefix a
     path-prefix of the other's, at least as many stars.
     """
-    g = (paths.select(F.col(glob_col).alias("glob"), F.col(id_col).alias("gid"))
-         .where(F.col("glob").isNotNull()).distinct()
+    g = (paths.select(_null_fails(glob_col).alias("glob"), F.col(id_col).alias("gid")).distinct()
          .withColumn("pre", glob_prefix("glob"))
          .withColumn("key", F.struct("glob", "gid")))
-    if materialize:
-        # every branch below reads the distinct globs: write them once to
-        # the shared checkpoint folder instead of re-deriving them per branch
-        ensure_work_dir(g.sparkSession)
-        g = g.checkpoint(eager=True)
     if strict:
-        return _consolidate_strict(g, glob_col, id_col)
-    per_pre = g.groupBy("pre").agg(F.min("key").alias("kmin"))
-    subs = _substrings(per_pre.select("pre"))
-    # p is a substring of q  <=>  p equals some substring of q
-    pairs = (subs.join(per_pre.select(F.col("pre").alias("sub"), F.col("kmin").alias("kmin_p")), "sub")
-             .select(F.col("sub").alias("p"), F.col("pre").alias("q"), "kmin_p"))
-    q_min = per_pre.select(F.col("pre").alias("q"), F.col("kmin").alias("kmin_q"))
-    pairs = pairs.join(q_min, "q")
-    related = (pairs.select(F.col("p").alias("pre"), F.col("kmin_q").alias("k"))
-               .unionByName(pairs.select(F.col("q").alias("pre"), F.col("kmin_p").alias("k"))))
-    rel_min = related.groupBy("pre").agg(F.min("k").alias("rel_min"))
-    kept = g.join(rel_min, "pre").where(F.col("key") == F.col("rel_min"))
-    return kept.select(F.col("glob").alias(glob_col), F.col("gid").alias(id_col))
+        return _ranked(_consolidate_strict(g, glob_col, id_col), glob_col, id_col)
+    pairs = _containing(g.groupBy("pre").agg(F.min("key").alias("kmin")))
+    # each prefix with its own least glob and those of all related ones (a prefix contains itself)
+    related = pairs.select(F.explode(F.array(
+        F.struct(F.col("p").alias("pre"), F.col("p_min").alias("own"), F.col("q_min").alias("k")),
+        F.struct(F.col("q").alias("pre"), F.col("q_min").alias("own"), F.col("p_min").alias("k")))).alias("r")).select("r.*")
+    least = related.groupBy("pre").agg(F.min("own").alias("own"), F.min("k").alias("k"))
+    kept = least.where(F.col("own") == F.col("k")).select(F.col("own.glob").alias(glob_col), F.col("own.gid").alias(id_col))
+    return _ranked(kept, glob_col, id_col)
+
+
+def _ranked(kept: DataFrame, glob_col: str, id_col: str) -> DataFrame:
+    """O1: numbers in descending order, dealt by the globs' beginnings."""
+    numbered = bucketed_row_number(kept.withColumn("_all", F.lit(0)), "_all", F.substring(glob_col, 1, 24),
+                                   [F.col(glob_col).desc(), F.col(id_col).desc()], out="rank", descending=True)
+    return numbered.select(glob_col, id_col, "rank")
 
 
 def _consolidate_strict(g: DataFrame, glob_col: str, id_col: str) -> DataFrame:

@@ -222,7 +222,8 @@ FROM (SELECT DISTINCT deltaLocation FROM f2)""",
 FROM reg3""",
     "consolidate_globs": _with(F2_CTE, _PLAIN, _REG) +
         """, g AS (SELECT DISTINCT wcPath, wcPathIdentifier, split_part(wcPath, '*', 1) AS pre FROM reg3)
-SELECT b.wcPath, b.wcPathIdentifier FROM g b
+SELECT b.wcPath, b.wcPathIdentifier,
+       CAST(row_number() OVER (ORDER BY b.wcPath DESC, b.wcPathIdentifier DESC) AS BIGINT) AS rank FROM g b
 WHERE NOT EXISTS (
   SELECT 1 FROM g a
   WHERE (a.wcPath < b.wcPath OR (a.wcPath = b.wcPath AND a.wcPathIdentifier < b.wcPathIdentifier))

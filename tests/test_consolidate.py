@@ -58,3 +58,35 @@ def test_strict_mode_keeps_unrelated(spark):
                                "wcPath string, wcPathIdentifier string")
     got = sorted(r.wcPathIdentifier for r in consolidate_globs(df, strict=True).collect())
     assert got == ["1", "2", "3"]
+
+
+def test_rank_is_the_folds_order(spark):
+    entries = [(f"/{c}{d}/*", str(i)) for i, (c, d) in enumerate((c, d) for c in "abcde" for d in "xyz")] + [("/ax/q/*", "z")]
+    df = spark.createDataFrame(entries, "wcPath string, wcPathIdentifier string")
+    got = [(r.wcPath, r.wcPathIdentifier) for r in consolidate_globs(df).orderBy("rank").collect()]
+    assert got == fold(entries)[::-1]
+    assert [r["rank"] for r in consolidate_globs(df, strict=True).orderBy("rank").collect()] == list(range(1, len(entries) + 1))
+
+
+def test_null_glob_fails(spark):
+    import pytest
+
+    df = spark.createDataFrame([("/a/*", "1"), (None, "2")], "wcPath string, wcPathIdentifier string")
+    with pytest.raises(Exception, match="wcPath is NULL"):
+        consolidate_globs(df).collect()
+
+
+def test_one_pass_and_no_job_while_building(spark):
+    df = spark.range(200).selectExpr("concat('/lake/db', id % 7, '/t', id, '/*') as wcPath", "cast(id as string) as wcPathIdentifier")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build", "build")
+    try:
+        out = consolidate_globs(df)
+        assert not tracker.getJobIdsForGroup("build")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert out.count() == 200
+    # deep prefixes give runs of segments, not substrings
+    deep = spark.createDataFrame([("/" + "/".join(f"s{k}{'x' * 40}" for k in range(30)) + "/*", "1"), ("/s7" + "x" * 40 + "/*", "2")],
+                                 "wcPath string, wcPathIdentifier string")
+    assert [r.wcPathIdentifier for r in consolidate_globs(deep).collect()] == ["1"]
