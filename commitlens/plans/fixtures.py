@@ -270,7 +270,7 @@ f1_ev AS (
          {_OP_CASE} AS op,
          CAST(event_id % 1000 + 1 AS BIGINT) AS fsize
   FROM f1_ev
-), f1 AS (
+), f1 AS MATERIALIZED (
   SELECT deltaLocation, deltaLocationIdentifier, commitVersion, committedOn, commitShortDate, file_name, ingest_seq,
          'commitInfo' AS action, op AS operation, CAST(NULL AS VARCHAR) AS add_path,
          CAST(NULL AS VARCHAR) AS remove_path, CAST(NULL AS BIGINT) AS size

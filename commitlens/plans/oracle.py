@@ -64,11 +64,9 @@ def _snapshot_ctes(name: str, actions: str, carried: str | None = None) -> str:
 
 
 _NEW_ROWS = """
-f1_new AS (
-  SELECT * FROM f1_batch b WHERE NOT EXISTS (
-    SELECT 1 FROM f1_target t
-    WHERE t.deltaLocationIdentifier = b.deltaLocationIdentifier
-      AND t.commitShortDate = b.commitShortDate AND t.commitVersion = b.commitVersion)
+f1_known AS MATERIALIZED (SELECT DISTINCT deltaLocationIdentifier, commitShortDate, commitVersion FROM f1_target),
+f1_new AS MATERIALIZED (
+  SELECT b.* FROM f1_batch b ANTI JOIN f1_known USING (deltaLocationIdentifier, commitShortDate, commitVersion)
 )"""
 
 _REFINED_TARGET = f"""
@@ -262,6 +260,14 @@ SELECT entry, CASE WHEN kind = 'name' THEN entry END, key FROM f4_entries WHERE
 
 
 ORACLE["live_file_intervals"] = ORACLE["replay_file_intervals"]
+ORACLE["live_files_continued"] = ORACLE["live_files_incremental"]
+ORACLE["registry_scan"] = ORACLE["registry_upsert"]
+ORACLE["bootstrap_tables"] = _with(F2_CTE, _PLAIN, _REG) + """, n AS (SELECT count(*) AS n FROM f2_plain)
+SELECT 'delta_location_details' AS name, CAST(count(*) AS BIGINT) AS n_rows,
+       CAST(count(DISTINCT deltaLocationIdentifier || ' ' || wcPathIdentifier) AS BIGINT) AS n_keys FROM reg3
+UNION ALL SELECT 'master', CAST(count(*) AS BIGINT), CAST(count(DISTINCT deltaLocation) AS BIGINT) FROM f2
+UNION ALL SELECT 'processed_log', 0, 0
+UNION ALL SELECT 'unrefined_metrics', 0, 0"""
 
 
 def _stream_oracle() -> dict[str, str]:

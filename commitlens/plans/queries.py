@@ -9,7 +9,9 @@ on the wall clock.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +28,7 @@ from commitlens.schemas import (
 )
 from commitlens.session import scratch_path
 from commitlens.sources.commit_log import with_commit_columns
+from commitlens.sources.tables import RegistryStore, initialize
 from commitlens.streaming.interval_table import IntervalTable
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -110,6 +113,13 @@ def q_live_files_incremental(spark, sf):
     return _snapshot(snapshots.live_files_incremental(state, new, previous_is_state=True))
 
 
+def q_live_files_continued(spark, sf):
+    """J8 from a whole previous snapshot: A5 finds its last versions."""
+    f1 = _f1(spark, sf)
+    new = merge.insert_only_merge(fx.split_batch(f1), fx.split_target(f1)).checkpoint(eager=True)
+    return _snapshot(snapshots.live_files_incremental(snapshots.live_files(fx.split_target(f1)).checkpoint(eager=True), new))
+
+
 def q_live_files_state(spark, sf):
     """The snapshot's rows at each table's last version, without expansion."""
     return _snapshot(snapshots.snapshot_state(_f1(spark, sf)))
@@ -245,6 +255,33 @@ def q_registry_upsert(spark, sf):
         UPDATED_ON)
 
 
+def q_registry_scan(spark, sf):
+    """Two refreshes of a stored registry, read back."""
+    plain = _plain_config(spark, sf)
+    n = plain.count()
+    store = RegistryStore(spark, scratch_path(spark, "registry"))
+    for side, at in (("target", fx.REGISTRY_TARGET_UPDATED), ("batch", fx.REGISTRY_BATCH_UPDATED)):
+        store.upsert(_registry(fx.registry_split(plain, side, n)).withColumn(UPDATED_ON, F.lit(at)))
+    return store.current().select(
+        PATH, PATH_ID, WC_PATH, WC_PATH_ID, config_level(EXTRA_CONFIG).alias("wildCardLevel"), UPDATED_ON)
+
+
+def q_bootstrap_tables(spark, sf):
+    """The metric tables are made through the catalog, filled at their
+    locations and counted through the catalog."""
+    db = f"boot_{uuid.uuid4().hex[:12]}"
+    defs = initialize(spark, scratch_path(spark, "boot"), db)
+    fx.master_entries(spark, sf).select(PATH, IGNORE, EXTRA_CONFIG).write.mode("append").parquet(defs["master"].path)
+    RegistryStore(spark, defs["registry"].path).upsert(_registry(_plain_config(spark, sf)))
+    for d in defs.values():
+        spark.catalog.refreshTable(d.name)
+    keys = {"delta_location_details": [PATH_ID, WC_PATH_ID], "master": [PATH], "processed_log": ["tableName"],
+            "unrefined_metrics": [PATH_ID]}
+    counts = [spark.table(f"{db}.{t}").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct(*k).alias("n_keys"))
+              .select(F.lit(t).alias("name"), "n_rows", "n_keys") for t, k in keys.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
 # ---- F4 ----------------------------------------------------------------------
 
 def q_catalog_filter(spark, sf):
@@ -265,6 +302,7 @@ QUERIES: dict[str, QueryFn] = {
     "live_files": q_live_files,
     "live_files_incremental": q_live_files_incremental,
     "live_file_metrics": q_live_file_metrics,
+    "live_files_continued": q_live_files_continued,
     "live_files_state": q_live_files_state,
     "live_file_intervals": q_live_file_intervals,
     "dedup_adds": q_dedup_adds,
@@ -284,6 +322,8 @@ QUERIES: dict[str, QueryFn] = {
     "consolidate_globs": q_consolidate_globs,
     "stream_slice": q_stream_slice,
     "registry_upsert": q_registry_upsert,
+    "registry_scan": q_registry_scan,
+    "bootstrap_tables": q_bootstrap_tables,
     "catalog_filter": q_catalog_filter,
     "resolve_locations": q_resolve_locations,
 }

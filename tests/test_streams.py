@@ -343,3 +343,42 @@ def test_commit_files_survive_small_batches(spark, work):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     on_disk = spark.read.text(work + ALL).count()
     assert written == on_disk == actions.count()
+
+
+def test_discovery_through_hadoop_file_systems(spark, work):
+    """A scheme that only the session's Hadoop settings know."""
+    import pytest
+    from commitlens.operators.registry import expand_wildcards
+    from commitlens.sources.discovery import table_paths
+
+    write_f5(spark, work)
+    extra_cases(work)
+    base = local_path(work)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.lakes.link./mnt", f"file://{base}")
+    rows = spark.createDataFrame([("viewfs://lakes/mnt/lake/**", False, {"wildCardLevel": "1"}),
+                                  (f"{base}/lake/**", False, {"wildCardLevel": "0"})], MASTER_SCHEMA)
+    got = [r.deltaLocation for r in expand_wildcards(rows).collect()]
+    far = sorted(p[len("viewfs://lakes/mnt"):] for p in got if p.startswith("viewfs"))
+    near = sorted(p[len(base):] for p in got if not p.startswith("viewfs"))
+    assert far == near and "/lake/db0/t 2+x" in far
+    some = spark.createDataFrame([("viewfs://lakes/mnt/lake/db0/t0",), ("viewfs://lakes/mnt/lake/db0/none",), (f"{base}/lake/db1/t1",)],
+                                 "deltaLocation string")
+    assert {r.location for r in table_paths(some).collect()} == {"viewfs://lakes/mnt/lake/db0/t0", f"{base}/lake/db1/t1"}
+    gone = spark.createDataFrame([("viewfs://lakes/mnt/nothing/**", False, {"wildCardLevel": "1"})], MASTER_SCHEMA)
+    with pytest.raises(FileNotFoundError, match="viewfs://lakes/mnt/nothing"):
+        expand_wildcards(gone)
+    odd = spark.createDataFrame([("nosuchscheme://x/y/**", False, {"wildCardLevel": "1"})], MASTER_SCHEMA)
+    with pytest.raises(Exception, match="nosuchscheme"):
+        expand_wildcards(odd).count()
+
+
+def test_progress_stays_bounded():
+    from types import SimpleNamespace
+
+    c = ProgressCollector(keep=3)
+    for n in range(10):
+        c.onQueryProgress(SimpleNamespace(progress=SimpleNamespace(
+            name="q", id="i", runId="r", timestamp=str(n), batchId=n, numInputRows=n + 1, inputRowsPerSecond=1.0, processedRowsPerSecond=1.0)))
+    rows = c.rows()
+    assert len(rows) == 4 and sum(r[6] for r in rows) == 55 and [r[5] for r in rows] == [None, 7, 8, 9]
