@@ -16,11 +16,12 @@ tokens.  Templates are, per leaf,
 
 A template recurs if it stands in ``min_docs`` unrelated documents, or,
 from ``LONG`` tokens on, which do not recur by chance, in ``LONG_DOCS``.
-Documents are told apart by their longest line that is not of the tested
-template, so that copies of a document count once, however many there are,
-and a passage that is the longest line of all its documents is counted as
-any other.  A document that has no other line has no such mark: all of
-them together count once.
+Documents are told apart by their longest line, or the next longest where
+the longest is a line of the tested template, so that copies of a document
+count once, however many there are, and a passage that is the longest line
+of all its documents is counted as any other.  A document that has no other
+line has no such mark: all of them together count once.  The depth of the
+tree is fixed: token count, leading tokens and ``SPLITS`` further tokens.
 
 Every count is an aggregation with map-side combine, first over (template,
 document) and then over (template, mark), so a template in a third of all
@@ -53,6 +54,9 @@ MIN_DOCS = 8
 LONG, LONG_DOCS = 50, 3
 
 
+_MARKS = ["_one", "_two", "_own"]
+
+
 def masked(line: Column) -> Column:
     """One-space-separated tokens; those with a digit are a variable."""
     flat = F.trim(F.when(line.rlike(r"[\t\r\f\x0B]|  "), F.regexp_replace(line, r"[ \t\r\f\x0B]+", " ")).otherwise(line))
@@ -74,8 +78,8 @@ def _longest(templates: Column) -> Column:
 
 
 def line_table(df: DataFrame) -> DataFrame:
-    """One row per line that is not blank: key, anchor (hash of the
-    document's longest other template), pos, leaf, template and token count."""
+    """One row per line that is not blank: key, hashes of the document's
+    two longest templates, pos, leaf, template and token count."""
     docs = _keyed(df).select("_key", F.transform("_lines", masked).alias("_ts")).withColumn("_one", _longest(F.col("_ts")))
     docs = docs.withColumn("_two", _longest(F.filter("_ts", lambda t: (t != F.col("_one")) & (t != ""))))
     # hashed before the generator: beside it they would be made for every line
@@ -83,14 +87,16 @@ def line_table(df: DataFrame) -> DataFrame:
     lines = docs.select("_key", "_one", "_two", F.posexplode("_ts").alias("pos", "t")).filter("t <> ''")
     n = _n_tokens(F.col("t"))
     template = F.xxhash64("t")
-    return lines.select("_key", F.when(template == F.col("_one"), F.col("_two")).otherwise(F.col("_one")).alias("_anchor"), "pos",
+    return lines.select("_key", "_one", "_two", (template == F.col("_one")).alias("_own"), "pos",
                         n.alias("n_tok"), template.alias("template"), F.xxhash64(n, F.substring_index("t", " ", LEAD)).alias("leaf"))
 
 
 def recurring(lines: DataFrame, key: str, min_docs: int) -> DataFrame:
     """Values of ``key`` that stand in ``min_docs`` unrelated documents,
     or in ``LONG_DOCS`` if they are long."""
-    per_doc = lines.groupBy(key, "_key").agg(F.min("_anchor").alias("_anchor"), F.max("n_tok").alias("n_tok"))
+    per_doc = lines.groupBy(key, "_key").agg(F.max("_own").alias("_own"), F.first("_one").alias("_one"), F.first("_two").alias("_two"),
+                                             F.max("n_tok").alias("n_tok"))
+    per_doc = per_doc.withColumn("_anchor", F.when(F.col("_own"), F.col("_two")).otherwise(F.col("_one")))
     per_anchor = per_doc.groupBy(key, "_anchor").agg(F.max("n_tok").alias("n_tok"))
     seen = per_anchor.groupBy(key).agg(F.count("n_tok").alias("anchors"), F.max("n_tok").alias("n_tok"))
     return seen.filter(F.col("anchors") >= F.when(F.col("n_tok") >= LONG, min(min_docs, LONG_DOCS)).otherwise(min_docs)).select(key)
@@ -100,7 +106,7 @@ def general_lines(df: DataFrame, lines: DataFrame, exact: DataFrame, min_docs: i
     """Lines (``_key, pos``) that follow a recurring generalised template."""
     rest = lines.filter(F.col("n_tok") >= MIN_GENERAL).join(exact, "template", "left_anti")
     leaves = recurring(rest, "leaf", min_docs)
-    open_lines = stored(rest.join(leaves, "leaf", "left_semi").select("_key", "_anchor", "pos", "n_tok", "leaf"), "open_lines")
+    open_lines = stored(rest.join(leaves, "leaf", "left_semi").select("_key", *_MARKS, "pos", "n_tok", "leaf"), "open_lines")
     wanted = open_lines.groupBy("_key").agg(F.collect_set("pos").alias("_wanted"))
     texts = _keyed(df).dropDuplicates(["_key"]).join(wanted, "_key")
     tokens = texts.select("_key", F.explode(F.transform("_wanted", lambda p: F.struct(
@@ -119,7 +125,7 @@ def general_lines(df: DataFrame, lines: DataFrame, exact: DataFrame, min_docs: i
                         lambda v: v["tok"]).alias("form"))
         form = form.filter(F.size(F.filter("form", lambda v: v.isNotNull())) >= CONSTANT * F.size("form"))
         follow = tokens.join(form, "leaf").filter(F.forall(
-            F.zip_with("toks", "form", lambda a, b: b.isNull() | (a == b)), lambda v: v)).select("_key", "_anchor", "pos", "n_tok", "leaf")
+            F.zip_with("toks", "form", lambda a, b: b.isNull() | (a == b)), lambda v: v)).select("_key", *_MARKS, "pos", "n_tok", "leaf")
         hit = stored(follow.join(recurring(follow, "leaf", min_docs), "leaf", "left_semi").select("_key", "pos"), "followers")
         found.append(hit)
         if turn < SPLITS:
@@ -159,34 +165,52 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _FLAT = r"trim(regexp_replace(line, '[ \t\r\f\x0B]+', ' ', 'g'), ' ')"
-ORACLE_SQL = rf"""
-WITH docs AS (SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+
+
+def _recurring_sql(source: str, key: str, min_docs: int) -> str:
+    return f"""(SELECT {key} FROM (
+    SELECT {key}, CASE WHEN own THEN two ELSE one END AS anchor, max(n) AS n FROM (
+      SELECT {key}, doc_id, text, one, two, bool_or(own) AS own, max(n) AS n FROM {source} GROUP BY ALL) GROUP BY ALL)
+  GROUP BY {key} HAVING count(*) >= CASE WHEN max(n) >= {LONG} THEN {min(min_docs, LONG_DOCS)} ELSE {min_docs} END)"""
+
+
+def oracle_sql(min_docs: int = MIN_DOCS) -> str:
+    """The same rule for DuckDB: leaves and marks as texts, not hashes."""
+    ctes = [rf"""docs AS (SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
 raw AS (SELECT doc_id, text, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM docs),
-anchors AS (SELECT doc_id, text, max(struct_pack(n := length(line), line := line)) AS anchor FROM raw GROUP BY ALL),
-tpl AS (SELECT doc_id, text, pos, regexp_replace({_FLAT}, '[^ ]*[0-9][^ ]*', '<*>', 'g') AS t FROM raw),
+tpl AS MATERIALIZED (SELECT doc_id, text, pos, regexp_replace({_FLAT}, '[^ ]*[0-9][^ ]*', '<*>', 'g') AS t FROM raw),
+ones AS MATERIALIZED (SELECT doc_id, text, struct_extract(max(struct_pack(n := length(t), t := t)), 't') AS one FROM tpl GROUP BY ALL),
+twos AS MATERIALIZED (SELECT doc_id, text, struct_extract(max(struct_pack(n := length(t), t := t)), 't') AS two FROM tpl JOIN ones USING (doc_id, text)
+         WHERE t <> one AND t <> '' GROUP BY ALL),
 lines AS MATERIALIZED (
-  SELECT doc_id, text, anchor, pos, t, string_split(t, ' ') AS toks, len(string_split(t, ' ')) AS n,
-         array_to_string(list_slice(string_split(t, ' '), 1, {LEAD}), ' ') AS lead
-  FROM tpl JOIN anchors USING (doc_id, text) WHERE t <> ''),
-exact AS MATERIALIZED (
-  SELECT t FROM (SELECT DISTINCT t, anchor, doc_id, text FROM lines) GROUP BY t
-  HAVING count(DISTINCT anchor) >= {MIN_DOCS} AND count(DISTINCT anchor) * 2 >= count(*)),
-rest AS MATERIALIZED (SELECT * FROM lines WHERE n >= {MIN_GENERAL} AND t NOT IN (SELECT t FROM exact)),
-leaves AS (SELECT n, lead FROM rest GROUP BY n, lead HAVING count(DISTINCT anchor) >= {MIN_DOCS}),
-open AS MATERIALIZED (SELECT rest.* FROM rest SEMI JOIN leaves USING (n, lead)),
-votes AS (SELECT n, lead, idx, tok, count(*) AS c
-          FROM (SELECT n, lead, unnest(toks) AS tok, generate_subscripts(toks, 1) AS idx FROM open) GROUP BY ALL),
-form AS (SELECT n, lead, idx, CASE WHEN max(c) >= {CONSTANT} * sum(c) THEN max_by(tok, c) END AS tok FROM votes GROUP BY n, lead, idx),
-forms AS (SELECT n, lead, list(tok ORDER BY idx) AS form FROM form GROUP BY n, lead HAVING count(tok) >= {CONSTANT} * count(*)),
-follow AS MATERIALIZED (
-  SELECT open.* FROM open JOIN forms USING (n, lead)
+  SELECT doc_id, text, pos, t, string_split(t, ' ') AS toks, len(string_split(t, ' ')) AS n, one, coalesce(two, chr(1)) AS two, t = one AS own,
+         len(string_split(t, ' ')) || ' ' || array_to_string(list_slice(string_split(t, ' '), 1, {LEAD}), ' ') AS leaf
+  FROM tpl JOIN ones USING (doc_id, text) LEFT JOIN twos USING (doc_id, text) WHERE t <> ''),
+exact AS MATERIALIZED {_recurring_sql('lines', 't', min_docs)},
+rest AS MATERIALIZED (SELECT * FROM lines ANTI JOIN exact USING (t) WHERE n >= {MIN_GENERAL}),
+open0 AS MATERIALIZED (SELECT * FROM rest SEMI JOIN {_recurring_sql('rest', 'leaf', min_docs)} USING (leaf))"""]
+    for k in range(SPLITS + 1):
+        ctes.append(f"""votes{k} AS MATERIALIZED (
+  SELECT leaf, idx, max_by(tok, c) AS tok, max(c) >= CAST({CONSTANT} AS DOUBLE) * sum(c) AS constant, sum(CAST(c AS DOUBLE) * c) AS same FROM (
+    SELECT leaf, idx, tok, count(*) AS c FROM (
+      SELECT leaf, unnest(toks) AS tok, generate_subscripts(toks, 1) AS idx FROM open{k}) GROUP BY ALL) GROUP BY leaf, idx),
+form{k} AS (SELECT leaf, list(CASE WHEN constant THEN tok END ORDER BY idx) AS form FROM votes{k} GROUP BY leaf
+  HAVING count(*) FILTER (WHERE constant) >= CAST({CONSTANT} AS DOUBLE) * count(*)),
+follow{k} AS MATERIALIZED (SELECT o.* FROM open{k} o JOIN form{k} USING (leaf)
   WHERE len([x for x in list_zip(toks, form) if x[2] IS NOT NULL AND x[1] <> x[2]]) = 0),
-general AS (SELECT n, lead FROM (SELECT DISTINCT n, lead, anchor, doc_id, text FROM follow) GROUP BY n, lead
-            HAVING count(DISTINCT anchor) >= {MIN_DOCS} AND count(DISTINCT anchor) * 2 >= count(*)),
-dropped AS MATERIALIZED (
-  SELECT DISTINCT doc_id, text, pos FROM lines WHERE t IN (SELECT t FROM exact)
-  UNION SELECT doc_id, text, pos FROM follow SEMI JOIN general USING (n, lead))
+hit{k} AS MATERIALIZED (SELECT doc_id, text, pos FROM follow{k} SEMI JOIN {_recurring_sql(f'follow{k}', 'leaf', min_docs)} USING (leaf))""")
+        if k < SPLITS:
+            ctes.append(f"""split{k} AS (SELECT leaf, -struct_extract(max(struct_pack(same := same, at := -idx)), 'at') AS cut FROM votes{k} WHERE NOT constant GROUP BY leaf),
+left{k} AS MATERIALIZED (SELECT * REPLACE (leaf || chr(1) || cut || ' ' || toks[cut] AS leaf) FROM open{k}
+  ANTI JOIN hit{k} USING (doc_id, text, pos) JOIN split{k} USING (leaf)),
+open{k + 1} AS MATERIALIZED (SELECT * EXCLUDE (cut) FROM left{k} SEMI JOIN {_recurring_sql(f'left{k}', 'leaf', min_docs)} USING (leaf))""")
+    hits = " UNION ".join(f"SELECT * FROM hit{k}" for k in range(SPLITS + 1))
+    return "WITH " + ",\n".join(ctes) + f""",
+dropped AS MATERIALIZED (SELECT doc_id, text, pos FROM lines SEMI JOIN exact USING (t) UNION {hits})
 SELECT doc_id, count(*) AS n_lines, count(dropped.pos) AS n_dropped,
        coalesce(string_agg(line, chr(10) ORDER BY raw.pos) FILTER (WHERE dropped.pos IS NULL), '') AS text
 FROM raw LEFT JOIN dropped USING (doc_id, text, pos) GROUP BY doc_id, raw.text
 """
+
+
+ORACLE_SQL = oracle_sql()

@@ -231,6 +231,16 @@ def test_sql_oracles(spark, name, module):
     assert sorted(map(tuple, got), key=key) == sorted(rows, key=key)
 
 
+def test_line_dedup_sql_states_the_rule_at_a_larger_size(spark):
+    """All levels of the tree have cases here, which the small tables lack."""
+    large = "/root/testdata/sf0.1"
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{large}/documents.parquet'")
+    want = {r[0]: r[1:] for r in con.sql(line_dedup.ORACLE_SQL).fetchall()}
+    got = {r[0]: tuple(r)[1:] for r in line_dedup.op5_line_dedup(spark, large).select("doc_id", "n_lines", "n_dropped", "text").collect()}
+    assert got == want and sum(r[1] for r in got.values()) > 8000
+
+
 def test_line_dedup_drops_templates_and_keeps_copies(spark, edge, empty):
     own = [" ".join(f"{chr(97 + i)}{chr(97 + j)}" for j in range(8)) for i in range(12)]
     rows = [(i, f"{own[i]}\nVisit page {i} of our shop\n\nlast {chr(97 + i)}") for i in range(12)]
