@@ -1,11 +1,13 @@
 """Length buckets with minimal padding, and token-budget batches.
 
-The global length histogram -- one aggregation -- has lengths up to 1,024
-exactly and longer ones by their ten leading bits, so it has at most
-1,024 + 512 rows per doubling beyond, however many documents there are.
-Dynamic programming over it picks the ``buckets`` boundaries that minimise
-the total padding when every document is padded to its bucket's boundary;
-boundaries are lengths that occur.  Inside a bucket documents are numbered
+The global length histogram is one aggregation; it has a row per length
+that occurs, so it is bounded by the longest document, however many there
+are.  Dynamic programming over it picks the ``buckets`` boundaries that
+minimise the total padding when every document is padded to its bucket's
+boundary; boundaries are lengths that occur.  The best cut of a length
+never lies before that of a shorter one, so each layer of the program is
+solved by halving: a level of mid-points at a time, each within the cuts of
+its neighbours.  Inside a bucket documents are numbered
 in ascending id order without a task per bucket (``common.numbered``), and
 every ``max(1, budget div boundary)`` of them form a batch.
 
@@ -21,9 +23,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from commitlens.llm.common import numbered, table
+from commitlens.llm.common import numbered, stored, table
 
-EXACT_BITS = 10
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -33,11 +34,32 @@ def word_length(text: str = "text") -> Column:
 
 
 def histogram(lengths: DataFrame, col: str = "n_tokens") -> list[tuple[int, int]]:
-    """Ascending (largest length, rows) of the histogram's cells."""
-    step = f"shiftleft(1L, greatest(0, length(bin({col} - 1)) - {EXACT_BITS}))"
-    cells = (lengths.groupBy(F.expr(f"({col} + {step} - 1) div {step} * {step}").alias("_cell"))
-             .agg(F.max(col).alias("_top"), F.count(F.lit(1)).alias("_n")))
-    return sorted((r["_top"], r["_n"]) for r in cells.select("_top", "_n").collect())
+    """Ascending (length, rows)."""
+    return sorted((r[0], r[1]) for r in lengths.groupBy(col).agg(F.count(F.lit(1)).alias("_n")).collect())
+
+
+def _layer(best: np.ndarray, top: np.ndarray, seen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For every j the least ``best[i] + top[j - 1] * (seen[j] - seen[i])``
+    over i < j, and the first such i; j = 0 costs nothing."""
+    m = len(top)
+    now, cut = np.zeros(m + 1), np.zeros(m + 1, np.int64)
+    # open ranges of j, and the cuts that bound them
+    j0, j1, i0, i1 = (np.array([x]) for x in (1, m, 0, m - 1))
+    while len(j0):
+        mid = (j0 + j1) // 2
+        size = np.minimum(i1, mid - 1) - i0 + 1
+        begin = np.cumsum(size) - size
+        i = np.arange(size.sum()) + np.repeat(i0 - begin, size)
+        at = np.repeat(mid, size)
+        cost = best[i] + top[at - 1] * (seen[at] - seen[i])
+        low = np.minimum.reduceat(cost, begin)
+        hit = np.flatnonzero(cost == np.repeat(low, size))
+        pick = i[hit[np.searchsorted(hit, begin)]]
+        now[mid], cut[mid] = low, pick
+        left, right = mid > j0, mid < j1
+        j0, j1, i0, i1 = (np.concatenate(x) for x in (
+            (j0[left], mid[right] + 1), (mid[left] - 1, j1[right]), (i0[left], pick[right]), (pick[left], i1[right])))
+    return now, cut
 
 
 def best_boundaries(cells: list[tuple[int, int]], buckets: int) -> list[int]:
@@ -51,14 +73,8 @@ def best_boundaries(cells: list[tuple[int, int]], buckets: int) -> list[int]:
     best[0] = 0
     cuts = []
     for _ in range(min(buckets, m)):
-        now, cut = np.full(m + 1, np.inf), np.zeros(m + 1, int)
-        now[0] = 0
-        for j in range(1, m + 1):
-            cost = best[:j] + top[j - 1] * (seen[j] - seen[:j])
-            cut[j] = int(cost.argmin())
-            now[j] = cost[cut[j]]
+        best, cut = _layer(best, top, seen)
         cuts.append(cut)
-        best = now
     out, j = [], m
     for cut in reversed(cuts):
         if j == 0:
@@ -71,7 +87,7 @@ def best_boundaries(cells: list[tuple[int, int]], buckets: int) -> list[int]:
 def pack(df: DataFrame, buckets: int = 16, budget: int = 16_384, length: Column | None = None,
          id_col: str = "doc_id") -> DataFrame:
     """``doc_id, n_tokens, bucket, padded_length, batch, slot`` of every row."""
-    rows = df.select(F.col(id_col).alias("doc_id"), (word_length() if length is None else length).alias("n_tokens"))
+    rows = stored(df.select(F.col(id_col).alias("doc_id"), (word_length() if length is None else length).alias("n_tokens")), "lengths")
     bounds = best_boundaries(histogram(rows), buckets)
     if not bounds:
         bounds = [1]
