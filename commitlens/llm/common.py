@@ -60,6 +60,21 @@ def numbered(df: DataFrame, order: list[str], groups: list[str] = (), out: str =
     return rows.join(starts, on).select(*keep, (starts["_start"] + rows["_rn"]).cast("long").alias(out))
 
 
+def running_sum(df: DataFrame, groups: list[str], order: list[Column], value: str, out: str) -> DataFrame:
+    """``df`` with the sum of ``value`` over the earlier rows of the same
+    ``groups`` in ``order``, without one task per group: each range
+    partition sums its own rows and adds the earlier partitions' totals."""
+    parts = stored(range_parts(df, *groups, *order), "summed")
+    totals = parts.groupBy("_part", *groups).agg(F.sum(value).alias("_v"))
+    starts = running_start(totals, "_part", "_v", groups)
+    inner = Window.partitionBy("_part", *groups).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = parts.withColumn("_in", F.coalesce(F.sum(value).over(inner), F.lit(0)))
+    on = rows["_part"] == starts["_part"]
+    for g in groups:
+        on = on & rows[g].eqNullSafe(starts[g])
+    return rows.join(starts, on).select(*[rows[c] for c in df.columns], (starts["_start"] + rows["_in"]).cast("long").alias(out))
+
+
 U64 = np.uint64
 _M1, _M2, _GOLD = U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB), U64(0x9E3779B97F4A7C15)
 
