@@ -31,8 +31,8 @@ Defined cases: a null or empty text has one blank line and stays as it is
 (null: empty text); blank lines are kept and never counted; a document
 that loses every line stays with an empty text; repeated rows are treated
 alike; an empty table gives no rows; other columns are ignored by
-``dropped_lines`` and kept by ``dedup_documents``, unless their names
-begin with an underscore.
+``dropped_lines`` and kept by ``dedup_documents``, whatever their names but
+for ``_n_lines`` and ``_n_dropped``, which it gives anew.
 """
 
 from __future__ import annotations
@@ -150,12 +150,14 @@ def dedup_documents(df: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     and ``_n_lines`` and ``_n_dropped`` are added."""
     drop = dropped_lines(df, min_docs)
     text = F.coalesce("text", F.lit(""))
-    rows = df.withColumn("_key", F.xxhash64("doc_id", text)).join(drop, "_key", "left")
-    lines = F.split(text, "\n")
+    # the caller's columns travel in a struct, so that none can clash
+    rows = df.select(F.xxhash64("doc_id", text).alias("_key"), text.alias("_text"), F.struct(*df.columns).alias("_row")).join(drop, "_key", "left")
+    lines = F.split("_text", "\n")
     kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_drop", i)), "\n")
-    return (rows.withColumn("_n_lines", F.size(lines).cast("long"))
-            .withColumn("text", F.when(F.col("_drop").isNull(), text).otherwise(kept))
-            .withColumn("_n_dropped", F.coalesce(F.size("_drop"), F.lit(0)).cast("long")).drop("_key", "_drop"))
+    new = F.when(F.col("_drop").isNull(), F.col("_text")).otherwise(kept)
+    own = [c for c in df.columns if c not in ("_n_lines", "_n_dropped")]
+    return rows.select(*[new.alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in own], F.size(lines).cast("long").alias("_n_lines"),
+                       F.coalesce(F.size("_drop"), F.lit(0)).cast("long").alias("_n_dropped"))
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

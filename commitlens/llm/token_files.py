@@ -274,6 +274,29 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
             .mapInArrow(documents, "doc_id long, start long, n_tokens long, ids_crc32 long"))
 
 
+def token_at(spark: SparkSession, path: str, positions: list[int]) -> DataFrame:
+    """``position, id`` of single tokens of a token file, by their place
+    over all documents: only the segments that hold one are read, and of
+    these a chunk, a bit and a rank per level, no block.  Positions beyond
+    the file give no row; repeated ones one."""
+    segs = spark.read.schema(_SCHEMA).parquet(path)
+    totals = segs.groupBy("part").agg(F.sum("n_ids").alias("_n"))
+    starts = running_start(totals.withColumn("_all", F.lit(0)), "part", "_n", ["_all"]).drop("_all")
+    wanted = sorted({int(p) for p in positions if p >= 0})
+
+    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked = np.array(wanted, np.int64)
+        for b in batches:
+            for at, n, dac in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+                here = asked[np.searchsorted(asked, at):np.searchsorted(asked, at + n)]
+                codes = Codes(dac.as_py())
+                yield pa.RecordBatch.from_pydict({"position": here, "id": pa.array([codes[int(p) - at] for p in here], pa.int64())})
+
+    placed = segs.join(F.broadcast(starts), "part").select((F.col("_start") + F.col("part_start")).alias("at"), "n_ids", "dac")
+    some = F.exists(F.array(*[F.lit(p).cast("long") for p in wanted]), lambda p: (p >= F.col("at")) & (p < F.col("at") + F.col("n_ids")))
+    return placed.filter(some if wanted else F.lit(False)).mapInArrow(read, "position long, id long")
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
     """All documents written to a token file and read back from it."""
     if tokenizer is None:

@@ -252,8 +252,11 @@ def test_line_dedup_drops_templates_and_keeps_copies(spark, edge, empty):
     assert got[3]["text"] == own[3] + "\n\nlast d" and got[3]["_n_dropped"] == 1
     assert all(got[100 + i]["_n_dropped"] == 0 for i in range(30))
     assert all(got[200 + i]["text"].count("\n") == 0 for i in range(12))
-    out = line_dedup.dedup_documents(edge)
-    assert out.count() == len(EDGE) and {"cls", "lang"} <= set(out.columns)
+    clash = edge.withColumn("_drop", F.lit("d")).withColumn("_row", F.lit("r")).withColumn("_n_lines", F.lit("n"))
+    out = line_dedup.dedup_documents(clash)
+    rows = out.collect()
+    assert len(rows) == len(EDGE) and {*edge.columns, "_drop", "_row", "_n_lines", "_n_dropped"} == set(out.columns)
+    assert all((r["_key"], r["_drop"], r["_row"], r["lang"], r["cls"]) == ("z", "d", "r", "x", 5) for r in rows)
     assert line_dedup.dedup_documents(empty).count() == 0
 
 
@@ -345,6 +348,11 @@ def test_token_files(spark, edge, empty, work):
     token_files.write_tokens(edge, work, path)
     got = sorted(map(tuple, token_files.read_tokens(spark, work).collect()), key=lambda r: r[1])
     assert got == expected(sorted(EDGE, key=lambda r: (r[0] is not None, r[0])))
+    ids = [i for _, t in sorted(EDGE, key=lambda r: (r[0] is not None, r[0])) for i in [*tok.encode(t or "", add_special_tokens=False).ids, 0]]
+    asked = [0, 1, 5, 5, len(ids) - 1, len(ids), 777, -1, len(ids) // 2]
+    found = {r["position"]: r["id"] for r in token_files.token_at(spark, work, asked).collect()}
+    assert found == {p: ids[p] for p in set(asked) if 0 <= p < len(ids)}
+    assert token_files.token_at(spark, work, []).count() == 0
     token_files.write_tokens(empty, work + "-empty", path)
     assert token_files.read_tokens(spark, work + "-empty").count() == 0
 
