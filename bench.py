@@ -28,6 +28,8 @@ HEADLINE = [
     "live_files_incremental",
     "live_file_metrics",
     "resolve_locations",
+    "land_batches",
+    "live_file_intervals",
 ]
 
 

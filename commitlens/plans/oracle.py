@@ -193,11 +193,9 @@ WHERE NOT EXISTS (SELECT 1 FROM ref_target t WHERE t.deltaLocationIdentifier = b
     "latest_version": _with(F1_CTE) +
         "SELECT CAST(coalesce(max(ingest_seq), 0) AS BIGINT) AS latest_version FROM f1",
     "high_water_mark": _with(F1_CTE) +
-        """SELECT n.tableName, CAST(coalesce(l.latestVersion, 0) AS BIGINT) AS latestVersion
-FROM (SELECT DISTINCT deltaLocation AS tableName FROM f1) n
-LEFT JOIN (SELECT deltaLocation AS tableName, max(commitVersion) AS latestVersion FROM f1_target
-           WHERE action = 'commitInfo' AND operation = 'OPTIMIZE' GROUP BY 1) l
-  ON n.tableName = l.tableName""",
+        """SELECT deltaLocation AS tableName, max(commitVersion) AS latestVersion FROM f1 WHERE action = 'commitInfo' GROUP BY 1
+UNION ALL SELECT DISTINCT deltaLocation || '_new', CAST(0 AS BIGINT) FROM f1""",
+    "land_batches": _with(F1_CTE) + f"SELECT {FLAT} FROM f1",
     "ledger_upsert": _with(F1_CTE, _LEDGER_ALL) +
         """SELECT tableName, latestVersion, updatedOn FROM (
   SELECT *, row_number() OVER (PARTITION BY tableName ORDER BY seq DESC) AS rn FROM ledger) WHERE rn = 1""",
@@ -277,3 +275,8 @@ def _stream_oracle() -> dict[str, str]:
 
 
 ORACLE.update(_stream_oracle())
+ORACLE["expand_wildcards_listed"] = _with(F2_CTE) + """, keep AS (SELECT * FROM f2 WHERE "ignore" <> TRUE),
+wild AS (SELECT left(deltaLocation, len(deltaLocation) - 2) AS base, * FROM keep WHERE right(deltaLocation, 2) = '**'),
+made AS (SELECT DISTINCT base || 't' || page_id AS path FROM wild)
+SELECT m.path AS deltaLocation, w."ignore", w.wildCardLevel FROM wild w JOIN made m ON starts_with(m.path, w.base)
+UNION ALL SELECT deltaLocation, "ignore", wildCardLevel FROM keep WHERE right(deltaLocation, 2) <> '**'"""

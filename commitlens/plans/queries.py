@@ -29,6 +29,7 @@ from commitlens.schemas import (
 from commitlens.session import scratch_path
 from commitlens.sources.commit_log import with_commit_columns
 from commitlens.sources.tables import RegistryStore, initialize
+from commitlens.streaming.ingest import UnrefinedStore
 from commitlens.streaming.interval_table import IntervalTable
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -165,6 +166,16 @@ def q_insert_only_merge(spark, sf):
     return fx.flat_actions(new).select(*FLAT_COLS)
 
 
+def q_land_batches(spark, sf):
+    """S9 + J1 + F8 on storage: two overlapping batches land in a catalog
+    table; every action once."""
+    f1 = _f1(spark, sf).drop(INGEST_SEQ)
+    store = UnrefinedStore(spark, scratch_path(spark, "landed"), table=f"landed_{uuid.uuid4().hex[:12]}")
+    for n, part in enumerate((fx.split_target(f1), fx.split_batch(f1))):
+        store.land(part, "f1", "once", n)
+    return fx.flat_actions(store.read().withColumn(INGEST_SEQ, F.lit(0).cast("bigint"))).select(*FLAT_COLS)
+
+
 def q_refine_commits(spark, sf):
     f1 = _f1(spark, sf)
     first = refine.refine_batch(fx.split_target(f1), None)          # first run: overwrite
@@ -192,11 +203,11 @@ def q_latest_version(spark, sf):
 
 
 def q_high_water_mark(spark, sf):
+    """A4: the marks of all tables' commits; a second name per table has
+    no mark and starts at 0."""
     f1 = _f1(spark, sf)
-    t = fx.split_target(f1)
-    ledger = _ledger_changes(t.where(F.col("commitInfo.operation") == "OPTIMIZE"))
-    names = f1.select(F.col(PATH).alias("tableName"))
-    return merge.high_water_marks(ledger, names)
+    names = f1.select(F.explode(F.array(F.col(PATH), F.concat(F.col(PATH), F.lit("_new")))).alias("tableName"))
+    return merge.high_water_marks(_ledger_changes(f1), names)
 
 
 def q_ledger_upsert(spark, sf):
@@ -308,6 +319,7 @@ QUERIES: dict[str, QueryFn] = {
     "dedup_adds": q_dedup_adds,
     "replay_file_intervals": q_replay_file_intervals,
     "insert_only_merge": q_insert_only_merge,
+    "land_batches": q_land_batches,
     "refine_commits": q_refine_commits,
     "changes_since": q_changes_since,
     "incremental_refine": q_incremental_refine,
