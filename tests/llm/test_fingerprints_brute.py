@@ -1,0 +1,85 @@
+"""Fingerprints recomputed in plain Python: terms, band, subsets, likeness."""
+
+import math
+import struct
+from collections import Counter
+
+import duckdb
+import pytest
+import regex
+import xxhash
+from pyspark.sql import functions as F
+
+from commitlens.llm import fingerprints as fp
+
+SMALL = "/root/testdata/sf0.001"
+
+
+def signed(h):
+    return h - (1 << 64) if h >> 63 else h
+
+
+def term_hash(word):
+    return signed(xxhash.xxh64(word.encode(), seed=42).intdigest())
+
+
+def list_hash(values):
+    h = 42
+    for v in values:
+        h = xxhash.xxh64(struct.pack("<q", v), seed=h).intdigest()
+    return signed(h)
+
+
+def terms(text):
+    return {term_hash(w) for w in regex.split(r"[^\p{L}\p{N}]+", text.lower()) if w}
+
+
+def band(docs, min_share, max_share):
+    df = Counter(t for text in docs for t in terms(text))
+    low = max(2, math.ceil(min_share * len(docs)))
+    high = max(low, math.floor(max_share * len(docs)))
+    return {t for t, n in df.items() if low <= n <= high}
+
+
+def fingerprint(text, lexicon):
+    own = terms(text)
+    kept = sorted(own & lexicon) or sorted(own)
+    out = []
+    for mask, value in fp.SUBSETS:
+        inside = [t for t in kept if t & mask == value]
+        out.append(list_hash(inside) % 0xFFFFFFFF + 1 if inside else 0)
+    return out
+
+
+def likeness(a, b):
+    some = [(x, y) for x, y in zip(a, b) if x or y]
+    return sum(x == y for x, y in some) / len(some) if some else 1.0
+
+
+def hexed(f):
+    return "".join(f"{h:08x}" for h in f)
+
+
+@pytest.mark.parametrize("shares", [(0.0005, 0.1), (0.05, 0.3)])
+def test_query_equals_brute_force(spark, shares):
+    docs = duckdb.sql(f"select doc_id, text from '{SMALL}/documents.parquet' order by 1").fetchall()
+    texts = [t or "" for _, t in docs]
+    lexicon = band(texts, *shares)
+    df = spark.read.parquet(f"{SMALL}/documents.parquet")
+    got = {r["doc_id"]: r for r in fp.fingerprint_pairs(df, *shares).collect()}
+    prints = [fingerprint(t, lexicon) for t in texts]
+    for k, (d, _) in enumerate(docs):
+        text, nxt = texts[k], texts[(k + 1) % len(texts)]
+        half = len(text) // 2
+        edited = fingerprint(text[:len(text) - half] + nxt[:half], lexicon)
+        r = got[d]
+        assert r["fingerprint"] == hexed(prints[k]) and r["edited_fingerprint"] == hexed(edited), d
+        assert r["near_edited"] == pytest.approx(likeness(prints[k], edited))
+        assert r["near_next"] == pytest.approx(likeness(prints[k], prints[(k + 1) % len(texts)]))
+
+
+def test_terms_of_odd_texts(spark):
+    odd = ["É é ﬁ ½ x_y don't 中文 文 A1 a1", "", " . ", "Straße STRASSE"]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(odd)], "i int, text string").select(
+        "i", fp.term_hashes(F.col("text")).alias("t")).orderBy("i").collect()
+    assert [set(r["t"]) for r in got] == [terms(t) for t in odd]
