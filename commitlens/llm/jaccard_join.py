@@ -33,6 +33,13 @@ components is left out.  A candidate must pass the size bound and the
 Hamming bound on 512 bits of both inside the join, then the Hamming bound
 on a sketch as long as the sets, then the exact count on both sets.
 
+**Link counts.**  ``link_counts`` gives every class its number of linked
+classes, which the comparisons above do not need: the members of a component
+are dealt into blocks of ``BLOCK_SHINGLES`` shingles, every two blocks of a
+component meet in one task, and the exact intersections of all their sets
+are counted there as a matrix product.  No pair is emitted, and links lie
+inside components, so no link is left out.
+
 Defined cases: null and empty texts and texts without words have size 0
 and link with nothing (their component is their own id); repeated rows are
 equal sets; null ids never become a component id unless all ids of the
@@ -45,11 +52,12 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from commitlens.llm.common import U64, mix64, partitions, stored, table
+from commitlens.llm.common import U64, mix64, partitions, running_sum, stored, table
 from commitlens.llm.graph import components
 from commitlens.llm.textkit import shingle_sets
 
@@ -61,6 +69,8 @@ PER_PIECE = 2.2
 CENTRES, ROUNDS = 6, 2
 #: Pieces that a piece remembers, so that a pair is not taken at each of many.
 BEFORE = 16
+#: Shingles of the sets of a block, and of a slice of the block's incidence matrix.
+BLOCK_SHINGLES, SLICE = 1 << 17, 1 << 12
 _SALT = U64(0x5851F42D4C957F2D)
 
 
@@ -205,6 +215,45 @@ def _linked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield b.select([0, 1]).take(pa.array(keep, pa.int64()))
 
 
+def count_links(a: list[np.ndarray], b: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """How many sets of ``b`` each set of ``a`` links with, and the other
+    way round; without ``b``: how many other sets of ``a``."""
+    sets = a + (b or [])
+    size = np.array([len(x) for x in sets], np.int64)
+    _, code = np.unique(np.concatenate(sets), return_inverse=True)
+    often = np.bincount(code) > 1
+    place = np.cumsum(often) - 1  # shingles of one set alone are in no intersection
+    row = np.repeat(np.arange(len(sets)), size)[often[code]]
+    col = place[code[often[code]]]
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    n = len(a)
+    both = np.zeros((n, len(sets) - n if b is not None else n), np.float32)
+    for at in range(0, int(often.sum()), SLICE):
+        lo, hi = np.searchsorted(col, (at, at + SLICE))
+        m = np.zeros((len(sets), SLICE), np.float32)
+        m[row[lo:hi], col[lo:hi] - at] = 1
+        both += m[:n] @ (m[n:] if b is not None else m).T
+    na, nb = size[:n, None], (size[n:] if b is not None else size)[None, :]
+    linked = 100 * both.astype(np.int64) >= 75 * (na + nb - both.astype(np.int64))
+    if b is None:
+        np.fill_diagonal(linked, False)
+    return linked.sum(1), linked.sum(0)
+
+
+def _count_block_pair(pdf: pd.DataFrame) -> pd.DataFrame:
+    """cls, n_links inside one pair of blocks (``i`` and ``j``)."""
+    sets = [np.frombuffer(x, U64) for x in pdf["shingles"]]
+    i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
+    if i == j:
+        return pd.DataFrame({"cls": pdf["cls"], "n_links": count_links(sets)[0]})
+    first = (pdf["block"] == i).to_numpy()
+    if first.all() or not first.any():
+        return pd.DataFrame({"cls": pdf["cls"][:0], "n_links": np.zeros(0, np.int64)})
+    a, b = count_links([s for s, f in zip(sets, first) if f], [s for s, f in zip(sets, first) if not f])
+    return pd.DataFrame({"cls": np.concatenate([pdf["cls"][first], pdf["cls"][~first]]), "n_links": np.concatenate([a, b])})
+
+
 class JaccardJoin:
     """The join's steps over one table of ``id`` and ``text``."""
 
@@ -254,14 +303,32 @@ class JaccardJoin:
         both = both.select("a", "b", "na", "nb", sketch("a", "b").alias("sa"), sketch("b", "a").alias("sb")).filter(
             "sa is not null and sb is not null and length(sa) = length(sb)")
         near = stored(both.mapInArrow(_near_sketches, "a long, b long"), "near")
-        need = near.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(self.classes.select("cls", "doc_id"), "cls")
-        texts = self.docs.join(need.select(F.col("doc_id").alias("_id")).distinct(), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-        sets = texts.mapInArrow(_sets, "cls long, shingles binary").dropDuplicates(["cls"])
-        sets = stored(sets.join(need.select("cls"), "cls", "left_semi"), "shingles")
+        sets = stored(self._sets_of(near.select(F.explode(F.array("a", "b")).alias("cls")).distinct()), "shingles")
         full = (near.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("sa")), "a")
                 .join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("sb")), "b").select("a", "b", "sa", "sb"))
         return full.mapInArrow(_linked, "a long, b long")
 
+    def _sets_of(self, classes: DataFrame) -> DataFrame:
+        """cls, shingles of the classes in ``classes`` (column ``cls``)."""
+        need = classes.join(self.classes.select("cls", "doc_id"), "cls")
+        texts = self.docs.join(need.select(F.col("doc_id").alias("_id")).distinct(), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+        sets = texts.mapInArrow(_sets, "cls long, shingles binary").dropDuplicates(["cls"])
+        return sets.join(need.select("cls"), "cls", "left_semi")
+
+    def link_counts(self, roots: DataFrame, block: int = BLOCK_SHINGLES) -> DataFrame:
+        """cls, n_links of every class that links with another one;
+        ``roots``: ``components`` of the links."""
+        ends = roots.select(F.col("root").alias("cls")).distinct()
+        members = roots.select(F.col("node").alias("cls"), "root").unionByName(ends.withColumn("root", F.col("cls")))
+        members = members.join(self.classes.select("cls", F.col("n").cast("long").alias("n")), "cls")
+        dealt = running_sum(members, ["root"], [F.col("cls")], "n", "at").withColumn("block", F.expr(f"at div {block}"))
+        last = dealt.groupBy("root").agg(F.max("block").alias("last"))
+        pairs = dealt.join(last, "root").withColumn("other", F.explode(F.expr("sequence(0L, last)")))
+        pairs = pairs.select("cls", "root", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+        sets = self._sets_of(members.select("cls"))
+        found = pairs.join(sets, "cls").groupBy("root", "i", "j").applyInPandas(_count_block_pair, "cls long, n_links long")
+        return found.groupBy("cls").agg(F.sum("n_links").alias("n_links"))
+
     def links(self) -> DataFrame:
         """Class pairs ``u, v`` that link: enough of them to join every
         component."""
@@ -298,16 +365,20 @@ class JaccardJoin:
         ends = named.groupBy("key").agg(F.min("root").alias("_a"), F.max("root").alias("_b")).filter("_a <> _b").select("key")
         return stored(named.join(ends, "key", "left_semi"), "mixed")
 
-    def members(self) -> DataFrame:
-        """doc_id, n_shingles, class_id, component_id of every row."""
+    def members(self, count: bool = False) -> DataFrame:
+        """doc_id, n_shingles, class_id, component_id of every row, and with
+        ``count`` n_links, the number of other sets that its set links with."""
         roots = components(self.links())
         named = self.classes.select("cls", "doc_id").join(roots, F.col("cls") == F.col("node"), "left").select(
             "cls", "doc_id", F.coalesce("root", "cls").alias("root"))
         least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
         named = named.join(least, "root").select("cls", "component_id")
         rows = self.info.select("doc_id", "cls", F.col("n").cast("long").alias("n_shingles")).join(named, "cls", "left")
-        return rows.select("doc_id", "n_shingles", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(
-            F.col("component_id")).alias("component_id"), F.col("cls").alias("class_id"))
+        cols = ["doc_id", "n_shingles", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(
+            F.col("component_id")).alias("component_id"), F.col("cls").alias("class_id")]
+        if not count:
+            return rows.select(*cols)
+        return rows.join(self.link_counts(roots), "cls", "left").select(*cols, F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
 
 
     def representatives(self, df: DataFrame) -> DataFrame:
@@ -321,5 +392,6 @@ class JaccardJoin:
 
 
 def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents with the component of their five-word shingle set."""
-    return JaccardJoin(table(spark, sf_dir, "documents")).members()
+    """All documents with the component of their five-word shingle set and
+    the number of other sets that it links with."""
+    return JaccardJoin(table(spark, sf_dir, "documents")).members(count=True)
