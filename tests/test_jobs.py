@@ -50,6 +50,27 @@ def test_registry_store_truncate(spark, work):
     assert [r.deltaLocation for r in reg.current().collect()] == ["/a/t1"]
 
 
+def test_registry_store_is_written_anew_now_and_then(spark, work):
+    """Refreshes do not pile up, and the merged view is that of all of them."""
+    from commitlens.operators.merge import registry_upsert
+    from commitlens.operators.registry import registry_rows
+
+    def refresh(n):
+        rows = [(f"/a/t{k}", False, {"wildCardLevel": "0" if n < 4 else "1"}) for k in range(n % 3, n + 3)]
+        df = registry_rows(spark.createDataFrame(rows, MASTER_SCHEMA).select("deltaLocation", "extraConfig"))
+        return df.withColumn("updatedOn", F.lit(f"2024-01-{n + 1:02d}").cast("timestamp"))
+
+    reg = RegistryStore(spark, work + "/registry", compact_every=4)
+    want, read = None, []
+    for n in range(10):
+        reg.upsert(refresh(n))
+        want = refresh(n) if want is None else registry_upsert(want, refresh(n))
+        read.append(reg.visible().select("_seq").distinct().count())
+    key = ["deltaLocation", "wcPath", "updatedOn", F.to_json("extraConfig").alias("x")]
+    assert sorted(map(str, reg.current().select(*key).collect())) == sorted(map(str, want.select(*key).collect()))
+    assert max(read) <= 4 and read[-1] < 4
+
+
 def test_end_to_end(spark, work):
     write_f5(spark, work)
     base = local_path(work)
