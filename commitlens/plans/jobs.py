@@ -1,8 +1,9 @@
-"""The three entry points as functions over stores.
+"""The entry points as functions over stores.
 
 E1  refresh the registry from the config table or from the catalog;
 E2  stream every registered glob of a slice into the unrefined table;
-E3  refine new unrefined rows into per-commit metrics.
+E3  refine new unrefined rows into per-commit metrics;
+and the snapshot stage: keep live-file intervals of all landed tables.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ from commitlens.sources.tables import RegistryStore
 from commitlens.streaming.ingest import Marks, await_all, start_ingest_streams
 from commitlens.streaming.progress import ProgressCollector
 from commitlens.streaming.refine_job import run_incremental_refine
-from commitlens.streaming.refine_stream import start_refine_stream
+from commitlens.streaming.interval_table import IntervalTable
+from commitlens.streaming.refine_stream import start_refine_stream, start_snapshot_stream
 
 CATALOG_LEVEL = "1"   # tables taken from the catalog are watched at level 1
 
@@ -107,6 +109,13 @@ def run_refine_stream(spark: SparkSession, unrefined_root: str, refined_path: st
     await_all([start_refine_stream(spark, unrefined_root, refined_path, checkpoint)])
 
 
+def run_snapshots(spark: SparkSession, unrefined_root: str, interval_root: str, checkpoint: str) -> IntervalTable:
+    """The snapshot stage: every batch landed since the checkpoint goes into
+    the stored live-file intervals."""
+    await_all([start_snapshot_stream(spark, unrefined_root, interval_root, checkpoint)])
+    return IntervalTable(spark, interval_root)
+
+
 def run_refine(spark: SparkSession, unrefined_root: str, refined_path: str, ledger_path: str) -> Marks:
     """One increment of refinement; returns the new high-water marks."""
     return run_incremental_refine(spark, unrefined_root, refined_path, ledger_path)

@@ -275,6 +275,7 @@ def _stream_oracle() -> dict[str, str]:
 
 
 ORACLE.update(_stream_oracle())
+ORACLE["snapshot_stream"] = f"SELECT data_path, file, start, \"end\", add_size FROM ({ORACLE['replay_file_intervals']})"
 ORACLE["expand_wildcards_listed"] = _with(F2_CTE) + """, keep AS (SELECT * FROM f2 WHERE "ignore" <> TRUE),
 wild AS (SELECT left(deltaLocation, len(deltaLocation) - 2) AS base, * FROM keep WHERE right(deltaLocation, 2) = '**'),
 made AS (SELECT DISTINCT base || 't' || page_id AS path FROM wild)

@@ -103,6 +103,28 @@ def test_end_to_end(spark, work):
     assert store.read().count() == want and read_refined(spark, refined).count() == n
 
 
+def test_refine_and_snapshot_stages_follow_the_landing(spark, work):
+    """Ingest in two runs, each followed by the two stages."""
+    import datetime as dt
+
+    from commitlens.operators.snapshots import replay_intervals
+    from commitlens.plans.jobs import run_refine_stream, run_snapshots
+    from commitlens.streaming.ingest import await_all, start_ingest_stream
+    from test_streams import ALL
+
+    for until in (dt.datetime(2024, 1, 17), None):
+        write_f5(spark, work, until=until)
+        await_all([start_ingest_stream(spark, work + ALL, "all", work + "/unrefined", work, max_files_per_trigger=13)])
+        run_refine_stream(spark, work + "/unrefined", work + "/refined", work + "/refine-ck")
+        table = run_snapshots(spark, work + "/unrefined", work + "/intervals", work + "/interval-ck")
+    assert read_refined(spark, work + "/refined").count() == f5_actions(spark).where(F.col("commitInfo").isNotNull()).count()
+    key = ["file", "start", "end", "add_file.size"]
+    got = table.intervals(table.newest()).select(*key)
+    want = replay_intervals(f5_actions(spark)).select(*key)
+    assert table.newest() == 1
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
 def test_refresh_from_catalog_inventory(spark, work):
     inv = spark.createDataFrame([("db", "t1", "delta", "/wh/db/t1"), ("db", "t2", "parquet", "/wh/db/t2"),
                                  ("other", "t3", "delta", "/wh/other/t3")], CATALOG_INVENTORY_SCHEMA)
