@@ -131,7 +131,7 @@ def _rows(batches: Iterable[pa.RecordBatch], step: int = 512) -> Iterator[tuple[
 
 
 FOLDS = [f"b{i}" for i in range(8)]
-_INFO = "doc_id long, cls long, n int, own_spare int, low_spare int, own_sketch binary, low_sketch binary, " + ", ".join(
+_INFO = "doc_id long, cls long, n int, own_spare int, low_spare int, " + ", ".join(
     f"{b} long" for b in FOLDS)
 _MEMBER = ["cls", "n", *FOLDS]
 
@@ -144,22 +144,21 @@ def may_link(x: str, y: str) -> str:
 
 def _describe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for ids, sets in _rows(batches):
-        out: list[list] = [[] for _ in range(6)]
+        out: list[list] = [[] for _ in range(4)]
         folds = []
         for s in sets:
             n = len(s)
             k, low = band(n), low_band(n)
             row = (class_of(s), n, len(piece_keys(s, k)) - prefix(n, k) if n else 0,
-                   len(piece_keys(s, low)) - prefix(n, low) if low >= 0 else 0,
-                   short_sketch(s, k) if n else None, short_sketch(s, low) if low >= 0 else None)
+                   len(piece_keys(s, low)) - prefix(n, low) if low >= 0 else 0)
             for col, v in zip(out, row):
                 col.append(v)
             folds.append(np.packbits((np.bincount((s % U64(512)).astype(np.int64), minlength=512) & 1).astype(bool)).view(np.int64))
         folds = np.array(folds, np.int64).reshape(-1, 8)
         yield pa.RecordBatch.from_arrays(
-            [ids.cast(pa.int64()), pa.array(out[0], pa.int64()), *(pa.array(c, pa.int32()) for c in out[1:4]),
-             *(pa.array(c, pa.binary()) for c in out[4:]), *(pa.array(folds[:, i]) for i in range(8))],
-            ["doc_id", "cls", "n", "own_spare", "low_spare", "own_sketch", "low_sketch", *FOLDS])
+            [ids.cast(pa.int64()), pa.array(out[0], pa.int64()), *(pa.array(c, pa.int32()) for c in out[1:]),
+             *(pa.array(folds[:, i]) for i in range(8))],
+            ["doc_id", "cls", "n", "own_spare", "low_spare", *FOLDS])
 
 
 def _pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,11 +183,18 @@ def _pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                               pa.array(np.concatenate(low))], ["key", "cls", "low"])
 
 
+_SETS = "cls long, shingles binary, own binary, low binary"
+
+
 def _sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every set, and its sketches for its own band and the one below."""
     for _, sets in _rows(batches):
-        kept = [(class_of(s), s.tobytes()) for s in sets if len(s)]
-        yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in kept], pa.int64()), pa.array([s for _, s in kept], pa.binary())],
-                                         ["cls", "shingles"])
+        kept = [s for s in sets if len(s)]
+        low = [low_band(len(s)) for s in kept]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([class_of(s) for s in kept], pa.int64()), pa.array([s.tobytes() for s in kept], pa.binary()),
+             pa.array([short_sketch(s, band(len(s))) for s in kept], pa.binary()),
+             pa.array([short_sketch(s, k) if k >= 0 else None for s, k in zip(kept, low)], pa.binary())], ["cls", "shingles", "own", "low"])
 
 
 def _near_sketches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,8 +268,16 @@ class JaccardJoin:
         self.info = stored(self.docs.mapInArrow(_describe, _INFO), "sets")
         self.classes = stored(self.info.filter("cls is not null").groupBy("cls").agg(
             F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("own_spare").alias("own_spare"),
-            F.first("low_spare").alias("low_spare"), F.first("own_sketch").alias("own_sketch"),
-            F.first("low_sketch").alias("low_sketch"), *(F.first(b).alias(b) for b in FOLDS)), "classes")
+            F.first("low_spare").alias("low_spare"), *(F.first(b).alias(b) for b in FOLDS)), "classes")
+        self._found: tuple[DataFrame, DataFrame] | None = None
+
+    def candidates(self) -> tuple[DataFrame, DataFrame]:
+        """The shared pieces, and the sets of the classes that hold one
+        (``_SETS``), stored once for all comparisons."""
+        if self._found is None:
+            shared = self.shared_pieces()
+            self._found = shared, stored(self._sets_of(shared.select("cls").distinct()), "shingles")
+        return self._found
 
     def shared_pieces(self) -> DataFrame:
         """key, cls: the first D + 1 pieces of every class, rarest first,
@@ -291,9 +305,11 @@ class JaccardJoin:
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of classes that link."""
+        sets = self.candidates()[1]
+
         def side(c: str) -> DataFrame:
-            return self.classes.select(F.col("cls").alias(c), F.col("n").alias(f"n{c}"),
-                                       F.col("own_sketch").alias(f"own{c}"), F.col("low_sketch").alias(f"low{c}"))
+            return sets.select(F.col("cls").alias(c), F.expr("octet_length(shingles) div 8").cast("int").alias(f"n{c}"),
+                               F.col("own").alias(f"own{c}"), F.col("low").alias(f"low{c}"))
 
         both = pairs.join(side("a"), "a").join(side("b"), "b")
 
@@ -303,16 +319,15 @@ class JaccardJoin:
         both = both.select("a", "b", "na", "nb", sketch("a", "b").alias("sa"), sketch("b", "a").alias("sb")).filter(
             "sa is not null and sb is not null and length(sa) = length(sb)")
         near = stored(both.mapInArrow(_near_sketches, "a long, b long"), "near")
-        sets = stored(self._sets_of(near.select(F.explode(F.array("a", "b")).alias("cls")).distinct()), "shingles")
         full = (near.join(sets.select(F.col("cls").alias("a"), F.col("shingles").alias("sa")), "a")
                 .join(sets.select(F.col("cls").alias("b"), F.col("shingles").alias("sb")), "b").select("a", "b", "sa", "sb"))
         return full.mapInArrow(_linked, "a long, b long")
 
     def _sets_of(self, classes: DataFrame) -> DataFrame:
-        """cls, shingles of the classes in ``classes`` (column ``cls``)."""
+        """``_SETS`` of the classes in ``classes`` (column ``cls``)."""
         need = classes.join(self.classes.select("cls", "doc_id"), "cls")
         texts = self.docs.join(need.select(F.col("doc_id").alias("_id")).distinct(), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-        sets = texts.mapInArrow(_sets, "cls long, shingles binary").dropDuplicates(["cls"])
+        sets = texts.mapInArrow(_sets, _SETS).dropDuplicates(["cls"])
         return sets.join(need.select("cls"), "cls", "left_semi")
 
     def link_counts(self, roots: DataFrame, block: int = BLOCK_SHINGLES) -> DataFrame:
@@ -325,14 +340,14 @@ class JaccardJoin:
         last = dealt.groupBy("root").agg(F.max("block").alias("last"))
         pairs = dealt.join(last, "root").withColumn("other", F.explode(F.expr("sequence(0L, last)")))
         pairs = pairs.select("cls", "root", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-        sets = self._sets_of(members.select("cls"))
+        sets = self.candidates()[1].select("cls", "shingles")
         found = pairs.join(sets, "cls").groupBy("root", "i", "j").applyInPandas(_count_block_pair, "cls long, n_links long")
         return found.groupBy("cls").agg(F.sum("n_links").alias("n_links"))
 
     def links(self) -> DataFrame:
         """Class pairs ``u, v`` that link: enough of them to join every
         component."""
-        shared = self.shared_pieces()
+        shared = self.candidates()[0]
         centre = shared.groupBy("key").agg(F.min(F.struct(*_MEMBER)).alias("c"))
         star = shared.join(centre, "key").filter("cls <> c.cls and " + may_link("", "c."))
         links = stored(self.verified(star.select(F.col("c.cls").alias("a"), F.col("cls").alias("b")).distinct()), "links")
