@@ -28,8 +28,8 @@ from commitlens.functions.sequence import bucketed_row_number
 from commitlens.schemas import WC_PATH, WC_PATH_ID
 
 
-def _null_fails(col: str) -> Column:
-    return F.when(F.col(col).isNull(), F.raise_error(F.lit(f"{col} is NULL: a glob to consolidate has no value"))).otherwise(F.col(col))
+def _null_fails(col: str, name: str) -> Column:
+    return F.when(F.col(col).isNull(), F.raise_error(F.lit(f"{name} is NULL: a glob to consolidate has no value"))).otherwise(F.col(col))
 
 
 def _containing(per_pre: DataFrame) -> DataFrame:
@@ -64,12 +64,17 @@ def consolidate_globs(paths: DataFrame, glob_col: str = WC_PATH,
     it really covers: same number of segments, its prefix a
     path-prefix of the other's, at least as many stars.
     """
-    g = (paths.select(_null_fails(glob_col).alias("glob"), F.col(id_col).alias("gid")).distinct()
+    g = (paths.select(F.col(glob_col).alias("glob"), F.col(id_col).alias("gid")).distinct()
          .withColumn("pre", glob_prefix("glob"))
          .withColumn("key", F.struct("glob", "gid")))
     if strict:
+        g = g.withColumn("glob", _null_fails("glob", glob_col))
         return _ranked(_consolidate_strict(g, glob_col, id_col), glob_col, id_col)
-    pairs = _containing(g.groupBy("pre").agg(F.min("key").alias("kmin")))
+    # the prefix is read from the least glob again: conditions on it then stay above the aggregation, where the globs'
+    # own expression is done with; only a NULL glob has a NULL prefix
+    per_pre = (g.groupBy("pre").agg(F.min("key").alias("kmin")).withColumn("pre", glob_prefix("kmin.glob"))
+               .select(_null_fails("pre", glob_col).alias("pre"), "kmin"))
+    pairs = _containing(per_pre)
     # each prefix with its own least glob and those of all related ones (a prefix contains itself)
     related = pairs.select(F.explode(F.array(
         F.struct(F.col("p").alias("pre"), F.col("p_min").alias("own"), F.col("q_min").alias("k")),

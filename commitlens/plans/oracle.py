@@ -261,7 +261,7 @@ ORACLE["live_file_intervals"] = ORACLE["replay_file_intervals"]
 ORACLE["live_files_continued"] = ORACLE["live_files_incremental"]
 ORACLE["registry_scan"] = ORACLE["registry_upsert"]
 ORACLE["bootstrap_tables"] = _with(F2_CTE, _PLAIN, _REG) + """, n AS (SELECT count(*) AS n FROM f2_plain)
-SELECT 'delta_location_details' AS name, CAST(count(*) AS BIGINT) AS n_rows,
+SELECT 'delta_location_details' AS name, CAST(count(DISTINCT deltaLocationIdentifier || ' ' || wcPathIdentifier) AS BIGINT) AS n_rows,
        CAST(count(DISTINCT deltaLocationIdentifier || ' ' || wcPathIdentifier) AS BIGINT) AS n_keys FROM reg3
 UNION ALL SELECT 'master', CAST(count(*) AS BIGINT), CAST(count(DISTINCT deltaLocation) AS BIGINT) FROM f2
 UNION ALL SELECT 'processed_log', 0, 0
