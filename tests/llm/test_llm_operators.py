@@ -446,6 +446,33 @@ def test_block_pruning_skips_blocks_and_keeps_results():
     assert np.allclose(got[keep], np.sort(everything)[::-1][:5])
 
 
+def test_long_queries_score_as_postings_do():
+    """Whole texts as queries: the product over frequent terms loses no
+    result and gives the scores that added postings give, to the last bit."""
+    rng = np.random.default_rng(9)
+    n, k = 700, 10
+    rows = [np.unique(np.concatenate([rng.choice(60, rng.integers(5, 50)), rng.integers(100, 900, 8)])).astype(np.uint64) for _ in range(n)]
+    rows[40:60] = [rows[3]] * 20  # copies: ties at the k-th place
+    doc, term = np.concatenate([np.full(len(t), i) for i, t in enumerate(rows)]), np.concatenate(rows)
+    by = np.argsort(term, kind="stable")
+    uniq, first = np.unique(term[by], return_index=True)
+    tf = rng.integers(1, 5, len(term)).astype(np.uint32)
+    tf[np.isin(doc, [3, *range(40, 60)])] = 2
+    lens = np.bincount(doc, tf, n).astype(np.int32)
+    shard = search.Shard(np.arange(n), lens.tobytes(), uniq.tobytes(), np.append(first, len(term)).astype(np.int32).tobytes(),
+                         doc[by].astype(np.uint16).tobytes(), tf[by].tobytes(), float(lens.mean()))
+    queries = [(rows[i], rng.random(len(rows[i])) + 0.1) for i in (0, 3, 50, 300)] + [(np.array([100, 5000], np.uint64), np.ones(2))]
+    least = [0.0, 0.0, 0.0, 3.0, 0.0]
+    found = list(shard.tops([(shard.places(t), w) for t, w in queries], k, least))
+    assert 0 < len(shard.grid) < len(uniq) and len(found) == len(queries)
+    for (t, w), low, (at, got) in zip(queries, least, found):
+        weight = dict(zip(t.tolist(), w))
+        want = np.bincount(doc[by], [weight.get(x, 0.0) for x in term[by].tolist()] * shard.gain, n)
+        best = [p for p in np.lexsort((np.arange(n), -want))[:k] if want[p] >= max(low, 1e-300)]
+        keep = search.best(at, got, k)
+        assert at[keep].tolist() == best and got[keep].tolist() == want[best].tolist()
+
+
 def test_toxicity_gradients_and_separation(spark, edge, empty):
     texts, y = ["you stupid idiot loser today", "hello fine day and more words here", ""], np.array([1, 0, 0], np.float32)
     net = toxicity.BiGru()
