@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -473,6 +474,37 @@ def test_long_queries_score_as_postings_do():
         assert at[keep].tolist() == best and got[keep].tolist() == want[best].tolist()
 
 
+def test_a_shard_takes_few_bytes_a_posting():
+    """What a task holds while it makes and searches a shard, in bytes a posting."""
+    rng = np.random.default_rng(10)
+    n = search.SHARD
+    rows = [np.unique(rng.zipf(1.2, 400) % 200_000).astype(np.uint64) for _ in range(n)]
+    doc, term = np.repeat(np.arange(n), [len(t) for t in rows]), np.concatenate(rows)
+    by = np.argsort(term, kind="stable")
+    uniq, first = np.unique(term[by], return_index=True)
+    parts = [np.full(n, 400, np.int32), uniq, np.append(first, len(term)).astype(np.int32), doc[by].astype(np.uint16), np.ones(len(term), np.uint32)]
+    raw = [p.tobytes() for p in parts]
+    queries = [(t, np.ones(len(t))) for t in rows[:64]]
+    tracemalloc.start()
+    shard = search.Shard(np.arange(n), *raw, 400.0)
+    for _ in shard.tops([(shard.places(t), w) for t, w in queries], 10, [0.0] * 64):
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    fixed = 4 * search.FREQUENT * n + 12 * search.TOGETHER * n  # the grid and the products
+    assert peak - fixed < 45 * len(term)
+
+
+def test_counts_of_any_size_are_indexed(spark):
+    """Counts beyond one and two bytes are stored whole."""
+    docs = spark.createDataFrame([(1, "a " * 300 + "b"), (2, "a " * 70_000 + "c"), (3, "a d"), (4, "b c d")], "doc_id long, text string")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    want = brute_bm25(rows, rows, 10)
+    hits = search.Bm25(docs.coalesce(1)).search(docs.withColumnRenamed("doc_id", "query_id")).collect()
+    for q, (scores, _) in want.items():
+        assert np.allclose([r["score"] for r in sorted(hits, key=lambda r: r["rank"]) if r["query_id"] == q], scores)
+
+
 def test_toxicity_gradients_and_separation(spark, edge, empty):
     texts, y = ["you stupid idiot loser today", "hello fine day and more words here", ""], np.array([1, 0, 0], np.float32)
     net = toxicity.BiGru()
