@@ -25,6 +25,7 @@ empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -65,15 +66,37 @@ def kept_terms(terms: Column, cells: Column) -> Column:
     return F.filter(terms, lambda t: F.array_contains(F.element_at(cells, (F.pmod(t, F.lit(CELLS)) + 1).cast("int")), t))
 
 
-def subset_hashes(kept: Column) -> Column:
-    masks = F.array(*[F.struct(F.lit(m).cast("long").alias("m"), F.lit(v).cast("long").alias("v")) for m, v in SUBSETS])
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once a row, however often a
+    lambda in ``use`` reads it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
 
-    def one(s: Column) -> Column:
-        inside = F.filter(kept, lambda t: t.bitwiseAND(s["m"]) == s["v"])
+def subset_hashes(kept: Column) -> Column:
+    """The hash of every subset in ``SUBSETS``' order.  A rate's terms are
+    taken out by their high bits first and by the last two bits then, so
+    that no term is tried on all subsets."""
+    def some(terms: Column, mask: int, values: Column) -> Column:
+        return F.transform(values, lambda v: F.filter(terms, lambda t: t.bitwiseAND(F.lit(mask).cast("long")) == v))
+
+    def longs(values: Iterable[int]) -> Column:
+        return F.array(*[F.lit(v).cast("long") for v in values])
+
+    def subsets(terms: Column, rate: int, at: int, n: int) -> Column:
+        mask = ((1 << rate) - 1) << at
+        if rate < 4 or n % 4:
+            return some(terms, mask, longs(j << at for j in range(n)))
+        if n < 1 << rate:
+            terms = F.filter(terms, lambda t: t.bitwiseAND(F.lit(mask).cast("long")) < F.lit(n << at).cast("long"))
+        high = longs(j << at + 2 for j in range(n // 4))
+        return _once(terms, lambda ts: F.flatten(F.transform(
+            some(ts, mask & ~(3 << at), high), lambda us: some(us, 3 << at, longs(j << at for j in range(4))))))
+
+    def one(inside: Column) -> Column:
         return F.when(F.size(inside) == 0, F.lit(0).cast("long")).otherwise(
             F.pmod(F.xxhash64(inside), F.lit(0xFFFFFFFF)) + 1)
 
-    return F.transform(masks, one)
+    return _once(kept, lambda ts: F.transform(F.concat(*[subsets(ts, *rate) for rate in RATES]), one))
 
 
 def hex_print(fp: Column) -> Column:
@@ -92,7 +115,7 @@ def with_fingerprint(df: DataFrame, cells: DataFrame, text: str, out: str) -> Da
     terms = df.withColumn("_terms", term_hashes(F.col(text))).withColumn("_one", F.lit(1))
     kept = terms.join(F.broadcast(cells.withColumn("_one", F.lit(1))), "_one")
     kept = kept.withColumn("_kept", kept_terms(F.col("_terms"), F.col("cells"))).drop("cells", "_one")
-    kept = kept.withColumn("_kept", F.array_sort(F.when(F.size("_kept") > 0, F.col("_kept")).otherwise(F.col("_terms"))))
+    kept = kept.withColumn("_kept", F.sort_array(F.when(F.size("_kept") > 0, F.col("_kept")).otherwise(F.col("_terms"))))
     return kept.withColumn(out, subset_hashes(F.col("_kept"))).drop("_terms", "_kept")
 
 

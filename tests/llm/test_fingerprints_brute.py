@@ -83,3 +83,17 @@ def test_terms_of_odd_texts(spark):
     got = spark.createDataFrame([(i, t) for i, t in enumerate(odd)], "i int, text string").select(
         "i", fp.term_hashes(F.col("text")).alias("t")).orderBy("i").collect()
     assert [set(r["t"]) for r in got] == [terms(t) for t in odd]
+
+
+def test_subsets_are_taken_out_in_steps_and_terms_sorted_without_a_lambda(spark):
+    """Every subset as one filter over all terms would give it, also with
+    few and with no terms; terms are not sorted by a comparing lambda."""
+    some = [term_hash(f"w{i}") for i in range(900)]
+    rows = spark.createDataFrame([(i, sorted(some[:n])) for i, n in enumerate((0, 1, 7, 60, 900))], "i int, kept array<bigint>")
+    for r in rows.select("i", "kept", fp.subset_hashes(F.col("kept")).alias("got")).collect():
+        inside = [[t for t in r["kept"] if t & mask == value] for mask, value in fp.SUBSETS]
+        assert r["got"] == [list_hash(ts) % 0xFFFFFFFF + 1 if ts else 0 for ts in inside]
+    texts = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
+    cells = spark.createDataFrame([([[]] * fp.CELLS,)], "cells array<array<bigint>>")
+    plan = fp.with_fingerprint(texts, cells, "text", "fp")._jdf.queryExecution().executedPlan().toString()
+    assert "sort_array" in plan and "array_sort" not in plan
