@@ -72,3 +72,28 @@ def test_tail_equals_the_file_stream(spark, work):
     a, b = got.select(*cols[:3], cols[4]), want.select(*cols[:3], cols[4])
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     assert got.where(F.col(PATH).rlike("/t[0-2]$")).count() == acts.count() == f5_actions(spark).count()
+
+
+def test_partitions_are_ranges_and_stay_few():
+    """A read task holds version ranges, not names, and opens a table once;
+    millions of files make larger tasks, not more of them."""
+    reader = lt.TailReader({"path": "/lake/*"})
+    start, end = {"/a": 3, "/b": 0, "/c": 5}, {"/a": 100, "/b": 2, "/c": 5}
+    parts = [p.ranges for p in reader.partitions(start, end)]
+    assert parts == [[("/a", 3, 35)], [("/a", 35, 67)], [("/a", 67, 99)], [("/a", 99, 100), ("/b", 0, 2)]]
+    many = [p.ranges for p in reader.partitions({"/a": 0, "/b": 0}, {"/a": 5_000_000, "/b": 1_000_001})]
+    assert len(many) <= lt.MOST_PARTITIONS
+    assert sum(b - a for p in many for _, a, b in p) == 6_000_001
+
+
+def test_reading_tasks_open_a_table_once(tmp_path, monkeypatch):
+    log_dir = tmp_path / "t" / "_delta_log"
+    log_dir.mkdir(parents=True)
+    for v in range(5):
+        (log_dir / lt.version_name(v)).write_text('{"add":{"path":"p%d"}}\n' % v)
+    made = []
+    store = lt._Store
+    monkeypatch.setattr(lt, "_Store", lambda uri: made.append(uri) or store(uri))
+    table = str(tmp_path / "t")
+    got = list(lt.TailReader({}).read(lt.TailPartition([(table, 1, 5)])))
+    assert made == [table] and [g[0] for g in got] == ['{"add":{"path":"p%d"}}' % v for v in range(1, 5)]

@@ -402,3 +402,19 @@ def test_progress_stays_bounded():
             name="q", id="i", runId="r", timestamp=str(n), batchId=n, numInputRows=n + 1, inputRowsPerSecond=1.0, processedRowsPerSecond=1.0)))
     rows = c.rows()
     assert len(rows) == 4 and sum(r[6] for r in rows) == 55 and [r[5] for r in rows] == [None, 7, 8, 9]
+
+
+def test_a_micro_batch_of_the_default_size_is_read_by_few_tasks(spark, work):
+    """1,024 commit files are read 128 a task, not 32."""
+    root = local_path(work)
+    for t in range(4):
+        os.makedirs(f"{root}/db/t{t}/_delta_log")
+        for v in range(256):
+            with open(f"{root}/db/t{t}/_delta_log/{v:020d}.json", "w") as f:
+                f.write('{"add":{"path":"p"}}\n')
+    out = work + "-out"
+    q = (stream_commit_log(spark, f"{root}/db/*/_delta_log/*.json").writeStream.format("parquet")
+         .option("checkpointLocation", out + "/_checkpoint").trigger(availableNow=True).start(out + "/data"))
+    q.awaitTermination()
+    written = [f for f in os.listdir(local_path(out) + "/data") if f.endswith(".parquet")]
+    assert spark.read.parquet(out + "/data").count() == 1024 and len(written) <= 9
